@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces, url_filter
+from . import html_main, language_id, license_scan, mixing, pieces, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,8 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark, pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+ORACLES["op2_mixing"] = mixing.MIX_SQL
+
 ORACLES["op7_url_filter"] = r"""
 WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -56,3 +58,27 @@ SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') A
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(table(spark, sf_dir, "documents"), tokenizer())
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    langs, p = language_id.learn(language_id.train_rows(docs), tokenizer())
+    found = language_id.identify(docs.select("doc_id", "text"), langs, p, tokenizer())
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "passes", "position")
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -23,6 +23,7 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import ascii_lower
 
@@ -129,5 +130,4 @@ def judge(spark: SparkSession, df: DataFrame, rules: Iterable[tuple[str, str, st
             yield pdf.assign(rule=pd.Series(rule, index=pdf.index, dtype=object), verdict=verdict)
 
     parts = with_parts(df.drop("host", "path", "rule", "verdict"), url)
-    schema = parts.schema.add("rule", "string").add("verdict", "string")
-    return parts.mapInPandas(fit, schema)
+    return parts.mapInPandas(fit, StructType([*parts.schema.fields, StructField("rule", StringType()), StructField("verdict", StringType())]))
