@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cap_filters, html_main, language_id, license_scan, mixing, pieces, topk, url_filter
+from . import cap_filters, html_main, language_id, license_scan, mixing, parity_join, pieces, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +102,8 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 @query
 def op1_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cap_filters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.jaccard_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
