@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cap_filters, html_main, language_id, license_scan, mixing, parity_join, pieces, topk, url_filter
+from . import cap_filters, html_main, language_id, license_scan, mixing, parity_join, pieces, suffix_dedup, topk, url_filter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +107,8 @@ def op1_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal(table(spark, sf_dir, "documents").select("doc_id", "text"))
