@@ -93,6 +93,16 @@ def mix(docs: DataFrame) -> DataFrame:
     ).drop("_order")
 
 
+def readings(docs: DataFrame) -> DataFrame:
+    """docs as the mix reads them: one row for each reading that takes at least half a document's words, in
+    training order. A document is read as often as taken over size says, rounded half up."""
+    mixed = mix(docs).withColumn("_times", F.floor(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(F.lit(0.0)) + 0.5).cast("int"))
+    mixed = mixed.where("_times > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    # a later reading stands a pass of the source's size further on in the source's own demand
+    later = F.col("position") + (F.col("_time") - 1) * F.col("source_size") / F.col("target")
+    return mixed.withColumn("_at", later).orderBy("_at", "doc_id").select(*docs.columns)
+
+
 #: The same mix in DuckDB SQL, without passes' order of rows.
 MIX_SQL = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS o FROM documents),

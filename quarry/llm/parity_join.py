@@ -379,3 +379,14 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     return out.select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id")
     )
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
+    """The rows of df whose id is the smallest of its class; of rows that repeat an id one stays. A null id stays."""
+    found = written(jaccard_classes(df, key, text, k))
+    gone = written(found.where((F.col(key) != F.col("component_id")) & F.col(key).isNotNull()).select(F.col(key).alias("_gone")).distinct())
+    out = df.join(gone, df[key] == gone._gone, "left_anti")
+    twice = found.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
+    if twice.isEmpty():
+        return out
+    return out.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(out.where(F.col(key).isNull()))
