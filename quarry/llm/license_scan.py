@@ -7,8 +7,9 @@ apart merge into one span (insertions and deletions shift a copy by a few words)
 of the template's k-grams that it holds. Phrases are templates that must be held without a gap: each of their pairs of words on one diagonal.
 
 Hashes are built by doubling (pairs, then pairs of pairs), so a text costs three passes over its words and
-no k-long slice is ever made. Rows whose hashes are in no template are dropped inside the
-generated code before anything is joined or shuffled; what is shuffled are the votes alone, summed per task first.
+no k-long slice is ever made. Texts are read once; hashes that are in no template are dropped before
+the join, and what is left of each text (its matching hashes) is written to the shared folder. What is
+shuffled are the votes, summed per task first.
 
 Null and empty texts have no words, zero counts, empty labels and score 0. Texts that repeat row by row
 give the same result for each row. Whole texts are scanned whatever their length.
@@ -21,7 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, written
 
 #: Fixed values of the contract: phrase and label.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -40,6 +41,7 @@ TEMPLATES = {
 }
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 K, GAP, SHARE = 4, 3, 0.6
+HITS = "array<struct<k:int,i:int,h:bigint>>"
 
 
 def _pairs(h, step: int):
@@ -72,13 +74,17 @@ def scan(df: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str,
     spark = df.sparkSession
     known = template_grams(spark, phrases, templates).collect()  # the parameter's own rows
     table = spark.createDataFrame([(r.h, r.k, r.name, r.phrase, r.at, r.n) for r in known], "h long, k int, name string, phrase boolean, at int, n int")
-    two, four = ([F.lit(r.h) for r in known if r.k == k] for k in (2, K))
+    two, four = ([r.h for r in known if r.k == k] for k in (2, K))
     rows = grams(df.select(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("text")))
+
+    def held(h: str, k: int, hashes: list[int]):
+        """Places of the hashes that occur in a template; texts without any are passed over by one set test."""
+        at = F.filter(F.transform(h, lambda x, i: F.struct(F.lit(k).alias("k"), i.alias("i"), x.alias("h"))), lambda x: x["h"].isin(hashes))
+        return F.when(F.arrays_overlap(F.col(h), F.array(*map(F.lit, hashes))), at).otherwise(F.array().cast(HITS)) if hashes else F.array().cast(HITS)
+
+    rows = written(rows.select("id", "th", "n_words", F.concat(held("_h2", 2, two), held("_h4", K, four)).alias("hits")))
     all_rows = rows.select("id", "th", "n_words")
-    pos = rows.select("id", "th", "_h4", F.posexplode("_h2").alias("i", "h2"))
-    pos = pos.select("id", "th", "i", "h2", F.when(F.col("i") < F.size("_h4"), F.col("_h4")[F.col("i")]).alias("h4"))
-    pos = pos.where(F.col("h2").isin(two) | F.col("h4").isin(four))
-    hits = pos.select("id", "th", "i", F.explode(F.array(F.struct(F.lit(2).alias("k"), F.col("h2").alias("h")), F.struct(F.lit(K).alias("k"), F.col("h4").alias("h")))).alias("g")).select("id", "th", "i", "g.k", "g.h")
+    hits = rows.select("id", "th", F.explode("hits").alias("g")).select("id", "th", "g.k", "g.i", "g.h")
     votes = hits.join(F.broadcast(table), ["k", "h"]).withColumn("diagonal", F.col("i") - F.col("at"))
     # a repeated row votes twice for the same place: places are distinct
     place = ["id", "th", "name", "phrase", "n", "diagonal"]
