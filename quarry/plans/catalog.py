@@ -1,6 +1,6 @@
-"""Registered queries of the engine's own operators and their DuckDB SQL."""
+"""All registered queries of the engine's own operators."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from . import coverage_queries, dedup_queries, label_queries, map_queries, quota_queries, validation_queries  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
