@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import coverage_queries, dedup_queries, label_queries, map_queries, quota_queries, validation_queries  # noqa: F401
+from . import coverage_queries, dedup_queries, file_rule_queries, frame_queries, label_queries, map_queries, quota_queries, validation_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

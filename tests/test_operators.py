@@ -281,3 +281,46 @@ def test_first_accepted(spark):
     judged = placement.accepted_scenes(df)
     assert [r.reason for r in judged.orderBy("sample", "attempt").collect()] == ["count", "accepted", "accepted", "crowded", "narrow"]
     assert [(r.sample, r.attempt) for r in placement.first_accepted(judged).collect()] == [(1, 2)]
+
+
+def test_links_and_catalogues(spark):
+    from quarry.operators import frames as f
+
+    rows = [("a", "x/0", None), ("a", "x/1", "0"), ("a", "y/0", "../x/1"), ("a", "z", "z2"), ("a", "z2", "z"), ("a", "w", "nowhere")]
+    got = {r.path: r.target for r in f.resolved_links(spark.createDataFrame(rows, "asset string, path string, link string")).collect()}
+    assert got == {"x/0": "x/0", "x/1": "x/0", "y/0": "x/0", "z": None, "z2": None, "w": None}
+    pets = spark.createDataFrame([("p1", "d1", 1), ("p2", "d1", 1), ("p2", "d2", 2), ("p3", "d1", 1)], "pet string, digest string, no int")
+    assert {r.pet: r.digest for r in f.first_unseen(pets, "pet", "digest", ["no"]).collect()} == {"p1": "d1", "p2": "d2"}
+
+
+def test_atlas_assembly(spark):
+    from quarry.operators import frames as f
+
+    nodes = spark.createDataFrame([("m.sheet", "stand/0", "k", 9, 9, "body"), ("m.sheet", "x", "none", 1, 1, None)], "asset string, path string, key string, origin_x int, origin_y int, z string")
+    atlas = spark.createDataFrame([("m.sheet", "k", 1, 0, 0, 10, 8, 0.25, 0.75)], "asset string, name string, page int, x int, y int, w int, h int, pivot_x float, pivot_y float")
+    got = f.logical_frames(nodes, atlas).collect()
+    assert [(r.path, r.origin_x, r.origin_y) for r in got] == [("stand/0", 2, 2)]
+    assets = spark.createDataFrame([("m_0.png",)], "asset_key string")
+    found, missing = f.atlas_pages(assets, atlas.withColumnRenamed("name", "n").select("asset", "page"))
+    assert [r.page for r in found.collect()] == [0] and [r.asset_key for r in missing.collect()] == ["m_1.png"]
+
+
+def test_index_keeps_going(spark):
+    from quarry.operators import frames as f
+
+    def read(content):
+        if content == b"bad":
+            raise ValueError("broken")
+        return [("a\\b", 7, "Texture")]
+
+    df = spark.createDataFrame([("one", bytearray(b"ok")), ("two", bytearray(b"bad"))], "path string, content binary")
+    assets, failures = f.index_assets(df, read)
+    assert [tuple(r) for r in assets.collect()] == [("one", "a/b", 7, "Texture")] and failures.first().error == "ValueError: broken"
+
+
+def test_validation_report(spark):
+    from quarry.operators import report
+
+    rows = spark.createDataFrame([("A", str(i), "") for i in range(150)] + [("B", "x", "")], "rule_id string, key string, detail string")
+    got = {r.rule_id: (r.n, len(r["keys"])) for r in report.validation_report(rows).collect()}
+    assert got == {"A": (150, 100), "B": (1, 1)}
