@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, forest, tidy, written
 from .topk import usable
 
 PARTS, CODE, ALPHA, LEAST, CHUNK, SEED = 2, 48, 0.30, 8, 1024, 20240607
@@ -59,20 +59,6 @@ class Filters:
         return [np.flatnonzero(row >= min(alpha, t)).astype(np.int32) for row, t in zip(total, kth, strict=True)]
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least index of each node's component."""
-    least = np.arange(n)
-    while True:
-        low = np.minimum(least[a], least[b])
-        new = least.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == least).all():
-            return least
-        least = new
-
-
 def _unit(rows: np.ndarray) -> np.ndarray:
     """Rows over their norms; scaled first so that neither huge nor tiny components leave the doubles."""
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
@@ -84,6 +70,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
     rows = df.select(F.col(key).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).alias("v"))
     sound = usable(rows.where("label is not null and id is not null"), "v").where(F.exists("v", lambda x: x != 0))
     kind = rows.schema["label"].dataType.simpleString()
+    # vectors travel in the width they are stored in; all sums are taken in double
+    stored = np.float32 if df.schema[vector].dataType.elementType.simpleString() == "float" else np.float64
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes: dict[int, Filters] = {}
@@ -97,7 +85,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
                     lists = codes[width].lists(_unit(vectors))
                     many = np.fromiter(map(len, lists), np.int64, len(lists))
                     at = np.repeat(np.arange(len(part)), many)
-                    raw = [x.tobytes() for x in vectors]
+                    raw = [x.tobytes() for x in vectors.astype(stored)]
                     held = [x.tobytes() for x in lists]
                     yield pd.DataFrame(
                         {
@@ -111,7 +99,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
                     )
 
     group = ["label", "width", "filter"]
-    listed = written(sound.mapInPandas(decode, f"label {kind}, width int, filter int, id long, vector binary, held binary"))
+    listed = written(sound.mapInPandas(tidy(decode), f"label {kind}, width int, filter int, id long, vector binary, held binary"))
     # chunks of large filters: the rows of a filter are cut by a hash, and each pair of chunks is one unit of work
     large = listed.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > CHUNK).withColumn("chunks", F.ceil(F.col("n") * 1.25 / CHUNK).cast("int")).drop("n")
     cut = listed.join(large, group, "left")
@@ -125,7 +113,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
         """One unit: link counts per vector and its forest's edges."""
         n, name = len(pdf), int(pdf["filter"].iloc[0])
         ids, own = pdf["id"].to_numpy(), pdf["own"].to_numpy()
-        unit_rows = _unit(np.frombuffer(b"".join(pdf["vector"]), np.float64).reshape(n, -1))
+        unit_rows = _unit(np.frombuffer(b"".join(pdf["vector"]), stored).astype(np.float64).reshape(n, -1))
         lists = [np.frombuffer(x, np.int32) for x in pdf["held"]]
         counts = np.fromiter(map(len, lists), np.int64, n)
         # filters below this one that a row is also in, over the few that occur here
@@ -147,7 +135,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
             number[e] += found.sum(axis=1)
             a, b = np.nonzero(found)
             if len(a):
-                parent = _forest(n, np.concatenate([a + s, np.arange(n)]), np.concatenate([b, parent]))
+                parent = forest(n, np.concatenate([a + s, np.arange(n)]), np.concatenate([b, parent]))
         linked = number > 0
         return pd.DataFrame({"id": ids[linked], "n": number[linked], "root": ids[parent[linked]]})
 
@@ -169,7 +157,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
             yield links(rest)
 
     parts = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = written(cut.repartition(parts, *unit).sortWithinPartitions(*unit).mapInPandas(stream, "id long, n long, root long"))
+    found = written(cut.repartition(parts, *unit).sortWithinPartitions(*unit).mapInPandas(tidy(stream), "id long, n long, root long"))
     n_links = found.groupBy("id").agg(F.sum("n").alias("n_links"))
     parts_of = components(found, "id", "root")
     out = rows.select("id").join(n_links, "id", "left").join(parts_of, "id", "left")

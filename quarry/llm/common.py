@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +41,37 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def tidy(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """run for mapInPandas, giving memory back to the system when its partition is done: Python workers are
+    reused, and what one operator's largest batch took would stay with the worker through all that follow."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            return
+
+    return wrapped
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least index of each of n nodes' component, for links a-b inside one task."""
+    least = np.arange(n)
+    while True:
+        low = np.minimum(least[a], least[b])
+        new = least.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == least).all():
+            return least
+        least = new
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list: (id, component_id), component_id the smallest id reached.
 

@@ -15,8 +15,11 @@ sets themselves compared.
 
 Skew. Equal sets collapse to one class first. Segments travel packed, one row per task and bucket,
 16 bytes an entry at most. A segment shared by g classes yields g - 1 pairs with its least class,
-not g * g / 2; only where the classes found so far still differ inside a segment's group are the pairs across
-them formed, inside a task, by comparing sketches, and groups over CHUNK rows are cut into pairs of chunks. Nothing is capped or dropped.
+not g * g / 2. Where the classes so connected still differ inside a segment's group, the sketches of its members are
+compared inside a task, which sends on a spanning set of the pairs that pass, two a part at most. These pairs are
+verified on the sets; a component of the sketches' graph that is then still in several parts is compared set by
+set across its parts, again inside tasks. Groups over CHUNK (UNIT) rows are cut into pairs of chunks. Nothing is
+capped or dropped, and no step sends on more rows than members and chunks.
 
 Null, empty and wordless texts have an empty set and stand alone; fewer words than k are one shingle. Rows that repeat an id are one
 document. A null id gets a null component. The columns of the input other than id and text are not read.
@@ -32,11 +35,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, forest, tidy, written
 from .shingles import mix, shingle_sets
 
 NUM, DEN = 3, 4
-BATCH, ENTRIES, CHUNK, MEMBERS = 500, 4_000_000, 1024, 64
+BATCH, ENTRIES, CHUNK, MEMBERS, UNIT = 500, 4_000_000, 1024, 64, 128
 #: Segments per band: at least ROOM * d + 2, each band 16/9 of the one before.
 ROOM = 1.15
 BANDS = [4]
@@ -93,6 +96,43 @@ def folded(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
+def alike(held: list[bytes], n: np.ndarray, rows: slice) -> np.ndarray:
+    """Whether the sketches of rows leave the threshold possible with each other sketch, [row, other]."""
+    length = np.fromiter(map(len, held), np.int64, len(held))
+    ok = np.zeros((len(held[rows]), len(held)), bool)
+    for width in np.unique(length[rows]):
+        left = np.flatnonzero(length[rows] == width)
+        for other in np.unique(length):
+            right = np.flatnonzero(length == other)
+            words = folded([held[rows][i] for i in left] + [held[j] for j in right])
+            own, words = words[: len(left)], words[len(left) :]
+            apart = np.zeros((len(left), len(right)), np.int32)
+            for w in range(words.shape[1]):
+                apart += np.bitwise_count(own[:, w, None] ^ words[None, :, w])
+            total = n[rows][left][:, None] + n[right][None]
+            ok[np.ix_(left, right)] = apart <= (DEN - NUM) * total // (DEN + NUM)
+    return ok & (np.minimum(n[rows][:, None], n[None]) * DEN >= np.maximum(n[rows][:, None], n[None]) * NUM)
+
+
+def in_common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of blocks of the incidence matrix of shared tokens."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    tokens, at, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(many > 1)
+    place = np.full(len(tokens), -1)
+    place[shared] = np.arange(len(shared))
+    row, at = row[many[at] > 1], place[at[many[at] > 1]]
+    by = np.argsort(at, kind="stable")
+    row, at = row[by], at[by]
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for s in range(0, len(shared), 8192):
+        a, b = np.searchsorted(at, [s, s + 8192])
+        block = np.zeros((len(sets), 8192), np.float32)
+        block[row[a:b], at[a:b] - s] = 1
+        both += block @ block.T
+    return both.astype(np.int64)
+
+
 def near(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether the Jaccard of two sorted sets reaches the threshold; sets without tokens are near nothing."""
     if not len(a) or not len(b):
@@ -137,7 +177,7 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
                     }
                 )
 
-    return docs.mapInPandas(run, "id long, n long, one long, two long, sketch binary")
+    return docs.mapInPandas(tidy(run), "id long, n long, one long, two long, sketch binary")
 
 
 def groups(docs: DataFrame, k: int, buckets: int) -> DataFrame:
@@ -222,8 +262,8 @@ def groups(docs: DataFrame, k: int, buckets: int) -> DataFrame:
         yield pd.DataFrame({"kind": np.int8(0), "x": edge[:, 0], "y": edge[:, 1]})
         yield pd.DataFrame({"kind": np.int8(1), "x": group, "y": own})
 
-    packed = docs.mapInPandas(pack, "slot int, sigs binary, ids binary, runs binary")
-    return packed.repartition(buckets, "slot").mapInPandas(match, "kind tinyint, x long, y long")
+    packed = docs.mapInPandas(tidy(pack), "slot int, sigs binary, ids binary, runs binary")
+    return packed.repartition(buckets, "slot").mapInPandas(tidy(match), "kind tinyint, x long, y long")
 
 
 def _passing(pairs: DataFrame) -> DataFrame:
@@ -237,49 +277,76 @@ def _passing(pairs: DataFrame) -> DataFrame:
             ]
             yield pdf[["a", "b"]][np.array(keep, bool)]
 
-    return pairs.where((F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM) & (F.col("a") != F.col("b"))).mapInPandas(run, "a long, b long")
+    return pairs.where((F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM) & (F.col("a") != F.col("b"))).mapInPandas(tidy(run), "a long, b long")
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of a group's members (g, id, n, sketch, comp) with different comp that pass sizes and sketches."""
-    spark = members.sparkSession
-    mixed = members.groupBy("g").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("many")).where("lo <> hi")
-    mixed = mixed.select("g", F.when(F.col("many") > CHUNK, F.ceil(F.col("many") * 1.25 / CHUNK)).otherwise(1).cast("int").alias("chunks"))
-    cut = members.join(mixed, "g").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+def chunked(members: DataFrame, group: str, size: int) -> DataFrame:
+    """members with own, i and j: groups over size rows are cut into chunks, and each pair of chunks (i, j) is a unit."""
+    large = members.groupBy(group).agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    large = large.select(group, F.when(F.col("many") > size, F.ceil(F.col("many") * 1.25 / size)).otherwise(1).cast("int").alias("chunks"))
+    cut = members.join(large, group).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    cut = cut.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "n", "sketch", "comp")
+    return cut.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("chunks", "other")
+
+
+def spanning(ids: np.ndarray, comp: np.ndarray, linked: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """Pairs of ids that join the parts (comp) like all links do, two a part at most: a link of its own, and one member
+    of it with one of the least part it hangs together with."""
+    _, first, part = np.unique(comp, return_index=True, return_inverse=True)
+    a = np.concatenate([x for x, _ in linked]) if linked else np.zeros(0, np.int64)
+    b = np.concatenate([y for _, y in linked]) if linked else np.zeros(0, np.int64)
+    root = forest(len(first), part[a], part[b])
+    _, one = np.unique(part[a], return_index=True)
+    far = np.flatnonzero(root != np.arange(len(first)))
+    pairs = np.concatenate([np.stack([ids[a[one]], ids[b[one]]], axis=1), np.stack([ids[first[far]], ids[first[root[far]]]], axis=1)])
+    pairs = np.unique(np.sort(pairs, axis=1), axis=0)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def across(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect the members (g, id, n, sketch, comp) of a group like all its pairs of different comp
+    that pass sizes and sketches."""
+    cut = chunked(members, "g", CHUNK).select("g", "i", "j", "own", "id", "n", "sketch", "comp")
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, n, comp = pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["comp"].to_numpy()
+        ids, n, comp, held = pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["comp"].to_numpy(), pdf["sketch"].tolist()
         own, crossing = pdf["own"].to_numpy(), pdf["i"].iloc[0] != pdf["j"].iloc[0]
-        words = folded(pdf["sketch"].tolist())
-        out = []
+        found = []
         for s in range(0, len(pdf), 128):
             e = slice(s, s + 128)
-            ok = (ids[e, None] < ids[None]) & (comp[e, None] != comp[None])
-            ok &= np.minimum(n[e, None], n[None]) * DEN >= np.maximum(n[e, None], n[None]) * NUM
+            apart = comp[e, None] != comp[None]
             if crossing:
-                ok &= own[e, None] != own[None]
-            a, b = np.nonzero(ok)
-            a += s
-            for t in range(0, len(a), 200_000):
-                x, y = a[t : t + 200_000], b[t : t + 200_000]
-                apart = np.bitwise_count(words[x] ^ words[y]).sum(axis=1, dtype=np.int64)
-                good = apart <= (DEN - NUM) * (n[x] + n[y]) // (DEN + NUM)
-                out.append(np.stack([x[good], y[good]]))
-        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        # sketches were folded to the shortest of the group; the pair's own length decides
-        held = pdf["sketch"].to_numpy()
-        keep = [int(np.bitwise_count(np.bitwise_xor(*folded([held[x], held[y]]))).sum()) <= difference(int(n[x] + n[y])) for x, y in zip(a, b, strict=True)]
-        keep = np.array(keep, bool)
-        return pd.DataFrame({"a": ids[a[keep]], "b": ids[b[keep]]})
+                apart &= own[e, None] != own[None]
+            if apart.any():
+                a, b = np.nonzero(apart & alike(held, n, e))
+                found.append((a + s, b))
+        return spanning(ids, comp, found)
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in by_unit(batches, ["g", "i", "j"]):
             yield pairs(pdf)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return cut.repartition(parts, "g", "i", "j").sortWithinPartitions("g", "i", "j").mapInPandas(stream, "a long, b long").distinct()
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut.repartition(parts, "g", "i", "j").sortWithinPartitions("g", "i", "j").mapInPandas(tidy(stream), "a long, b long").distinct()
+
+
+def linked_across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the components of all links between members (g, id, comp) of a group with different comp.
+    The sets themselves are compared, by blocks of UNIT members."""
+    cut = chunked(members, "g", UNIT).join(sets, "id").select("g", "i", "j", "own", "id", "comp", "tokens")
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in by_unit(batches, ["g", "i", "j"]):
+            found = [np.frombuffer(t, np.uint64) for t in pdf["tokens"]]
+            n, comp, own = np.fromiter(map(len, found), np.int64, len(found)), pdf["comp"].to_numpy(), pdf["own"].to_numpy()
+            both = in_common(found)
+            ok = (DEN * both >= NUM * (n[:, None] + n[None] - both)) & (comp[:, None] != comp[None])
+            if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
+                ok &= own[:, None] != own[None]
+            yield spanning(pdf["id"].to_numpy(), comp, [np.nonzero(ok)])
+
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut.repartition(parts, "g", "i", "j").sortWithinPartitions("g", "i", "j").mapInPandas(tidy(stream), "a long, b long")
 
 
 def by_unit(batches: Iterator[pd.DataFrame], unit: list[str]) -> Iterator[pd.DataFrame]:
@@ -305,35 +372,38 @@ def by_unit(batches: Iterator[pd.DataFrame], unit: list[str]) -> Iterator[pd.Dat
         yield pd.concat(rest, ignore_index=True)
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """The pairs (a, b) of ids whose sets reach the threshold; pairs of one a are dealt MEMBERS at a time."""
-    spark = docs.sparkSession
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
-    dealt = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("m"))
-    own = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("m"))
-    fetch = written(dealt.unionByName(own))
-    wanted = written(fetch.select(F.col("m").alias("id")).distinct())
-    texts = docs.join(wanted, "id", "left_semi")
+def token_sets(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(id, tokens) of every document in a pair."""
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for i, found in _sets(pdf, k):
-                yield pdf[["a", "salt", "m"]].iloc[i : i + len(found)].assign(tokens=[s.tobytes() for s in found])
+                yield pd.DataFrame({"id": pdf["id"].iloc[i : i + len(found)].to_numpy(), "tokens": [s.tobytes() for s in found]})
+
+    return docs.join(wanted, "id", "left_semi").mapInPandas(tidy(run), "id long, tokens binary").dropDuplicates(["id"])
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ids whose sets reach the threshold; pairs of one a are dealt MEMBERS at a time."""
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("salts"))
+    dealt = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.col("b").alias("id"))
+    own = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("a").alias("id"))
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = [], []
         for pdf in by_unit(batches, ["a", "salt"]):
             center = pdf["a"].iloc[0]
-            held = dict(zip(pdf["m"], pdf["tokens"], strict=True))
+            held = dict(zip(pdf["id"], pdf["tokens"], strict=True))
             mid = np.frombuffer(held[center], np.uint64)
             got = [m for m, t in held.items() if m != center and near(mid, np.frombuffer(t, np.uint64))]
             a += [center] * len(got)
             b += got
         yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    own_sets = fetch.join(texts, fetch.m == texts.id).select("a", "salt", "m", "text").mapInPandas(sets, "a long, salt int, m long, tokens binary")
-    return own_sets.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt").mapInPandas(check, "a long, b long")
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fetched = dealt.unionByName(own).join(sets, "id").select("a", "salt", "id", "tokens")
+    return fetched.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt").mapInPandas(tidy(check), "a long, b long")
 
 
 def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
@@ -359,20 +429,15 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     known = classes.select(F.col("rep").alias("id"), "n", "sketch")
     mixed = members.groupBy("g").agg(F.min("guess").alias("lo"), F.max("guess").alias("hi")).where("lo <> hi").select("g")
     second = written(across(members.join(mixed, "g").join(known, "id").withColumnRenamed("guess", "comp")))
-    links = written(verified(first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), docs, k))
+    pairs = written(first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    sets = written(token_sets(pairs, docs, k))
+    links = written(verified(pairs, sets))
     parts = written(components(links))
-    # a pair of the first kind that failed may have hidden pairs inside its guessed component
-    part = lambda c, name: parts.select(F.col("id").alias(c), F.col("component_id").alias(name))
-    apart = first.join(part("a", "pa"), "a", "left").join(part("b", "pb"), "b", "left").where(F.coalesce("pa", "a") != F.coalesce("pb", "b"))
-    doubtful = written(apart.select(F.col("a").alias("id")).distinct().join(guess, "id").select(F.col("component_id").alias("guess")).distinct())
-    if not doubtful.isEmpty():
-        again = members.join(doubtful, "guess").join(part("id", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        # the guess joins the group's name: pairs across guesses were formed before
-        again = again.select(F.xxhash64("g", "guess").alias("g"), "id", "comp").join(known, "id")
-        third = across(again).join(first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        more = written(verified(written(third), docs, k))
-        if not more.isEmpty():
-            parts = components(links.unionByName(more))
+    # every link lies inside a component of the sketches' graph: where that still holds several parts, all are compared
+    left = components(pairs).withColumnRenamed("component_id", "g").join(parts, "id", "left").withColumn("comp", F.coalesce("component_id", "id"))
+    more = written(linked_across(left.select("g", "id", "comp"), sets))
+    if not more.isEmpty():
+        parts = components(links.unionByName(more))
     of = classes.select("one", "two", "n", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")
     of = of.select("one", "two", "n", F.coalesce("component_id", "rep").alias("component_id"))
     out = about.join(of, ["one", "two", "n"], "left")
