@@ -21,12 +21,13 @@ stand next to each other in the order and are interchangeable. A null id sorts b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE
 
 REPEATS, BUCKETS, SLOPE = 3, 256, 0.75
+ADDED = ["size", "source_size", "target", "taken", "passes", "position"]
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -64,12 +65,17 @@ def targets(buckets: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """docs, range-sorted by position, with size, source_size, target, taken, passes and position.
+def place(word: Column) -> Column:
+    """Training position of a word of a source's demand: t with t + slope * (t * t - t) = word / target."""
+    x = F.least(F.lit(1.0), word / F.when(F.col("target") > 0, F.col("target")))
+    slope = (F.col("rank") % 7 - 3) * (SLOPE / 3)
+    root = F.sqrt(F.greatest(F.lit(0.0), (1 - slope) * (1 - slope) + 4 * slope * x))
+    return 2 * x / (1 - slope + root)
 
-    passes: how often the document is begun; position: where it is first read, null if it is not taken.
-    """
-    d = sized(docs.drop("size", "source_size", "target", "taken", "passes", "position"))
+
+def planned(docs: DataFrame) -> DataFrame:
+    """docs in any order with the columns of mix, the source's rank and _start, where their first reading begins."""
+    d = sized(docs.drop(*ADDED))
     small = sized(docs.select("doc_id", "source", "text")).groupBy("_none", "_source", "_bucket").agg(F.sum("size").alias("n"))
     own = ["_none", "_source"]
     running = F.sum("n").over(Window.partitionBy(*own).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -80,27 +86,29 @@ def mix(docs: DataFrame) -> DataFrame:
     start = F.col("_base") + F.col("_inside")
     rest = F.floor(F.col("target")).cast("long") - whole * F.col("source_size")
     more = F.greatest(F.lit(0), F.least(F.col("size"), rest - start)).cast("long")
-    x = F.least(F.lit(1.0), start / F.when(F.col("target") > 0, F.col("target")))
-    slope = (F.col("rank") % 7 - 3) * (SLOPE / 3)
-    # t + slope * (t * t - t) = x
-    root = F.sqrt(F.greatest(F.lit(0.0), (1 - slope) * (1 - slope) + 4 * slope * x))
-    t = 2 * x / (1 - slope + root)
+    t = place(start)
     taken = whole * F.col("size") + more
     d = d.withColumns({"taken": taken, "passes": (F.when(F.col("size") > 0, whole + (more > 0).cast("long")).otherwise(F.lit(0))).cast("int")})
-    d = d.withColumn("position", F.when(F.col("taken") > 0, t))
-    return d.select(*docs.drop("size", "source_size", "target", "taken", "passes", "position").columns, "size", "source_size", "target", "taken", "passes", "position", "_order").orderBy(
-        F.col("position").asc_nulls_last(), "_order"
-    ).drop("_order")
+    return d.withColumns({"position": F.when(F.col("taken") > 0, t), "_start": start})
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """docs, range-sorted by position, with size, source_size, target, taken, passes and position.
+
+    passes: how often the document is begun; position: where it is first read, null if it is not taken.
+    """
+    kept = [c for c in docs.columns if c not in ADDED]
+    return planned(docs).orderBy(F.col("position").asc_nulls_last(), "_order").select(*kept, *ADDED)
 
 
 def readings(docs: DataFrame) -> DataFrame:
     """docs as the mix reads them: one row for each reading that takes at least half a document's words, in
     training order. A document is read as often as taken over size says, rounded half up."""
-    mixed = mix(docs).withColumn("_times", F.floor(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(F.lit(0.0)) + 0.5).cast("int"))
-    mixed = mixed.where("_times > 0").withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    # a later reading stands a pass of the source's size further on in the source's own demand
-    later = F.col("position") + (F.col("_time") - 1) * F.col("source_size") / F.col("target")
-    return mixed.withColumn("_at", later).orderBy("_at", "doc_id").select(*docs.columns)
+    times = F.floor(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(F.lit(0.0)) + 0.5).cast("int")
+    read = planned(docs).withColumn("_times", times).where("_times > 0").withColumn("_time", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
+    # each pass of a source is read after the one before, a source's size further on in its demand
+    at = place(F.col("_start") + F.col("_time") * F.col("source_size"))
+    return read.withColumn("_at", at).orderBy("_at", "_order", "_time").select(*docs.columns)
 
 
 #: The same mix in DuckDB SQL, without passes' order of rows.

@@ -8,8 +8,8 @@ below the query's kth score. An equal bound is still scored, since a smaller id
 
 Scale: rows are packed by a hash of their id into tiles of TILE rows and queries into tiles as well; the
 pairs of tiles are dealt by key, so a task holds one tile pair whatever the table's size, and
-what leaves it are k rows a query. Neither side is broadcast or collected. One partial aggregate per
-query keeps the best k before the final shuffle.
+what leaves it are k rows a query. Neither side is broadcast or collected. The last window is limited to k
+rows a query on both sides of its shuffle.
 
 Vectors that are null or hold null or non-finite components take no part. Vectors of different lengths are
 padded with zeros. Null ids take no part; repeated rows are separate candidates, but never their own id's.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, TILE = 256, 8192
@@ -105,6 +105,6 @@ def top_k(df: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector: str
 
     near = candidates.unionByName(queries).groupBy("c", "t").applyInPandas(score, "query_id long, vec_id long, score long")
 
-    best = near.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k).alias("best"))
-    out = best.select("query_id", F.posexplode("best").alias("at", "b"))
-    return out.select("query_id", (F.col("at") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    # Spark cuts each task's rows to the k best of a query before this window's shuffle
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
