@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,12 +59,7 @@ def greedy_gate(df: DataFrame, pairs: DataFrame, order: str = "ordinal") -> Data
     return df.join(rejected.withColumnRenamed("o", order).withColumn("_no", F.lit(True)), order, "left").withColumn("accepted", F.col("_no").isNull()).drop("_no")
 
 
-def banded_gate(df: DataFrame, digest: str, order: str) -> DataFrame:
+def first_accepted(df: DataFrame, digest: str, order: str) -> DataFrame:
     """The rows that come first with their digest."""
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(digest).orderBy(order))).where("_r = 1").drop("_r")
 
-
-def rejected_reasons(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of reasons inside a batch; sum them after."""
-    for pdf in batches:
-        yield pdf.groupby("reason", as_index=False).size().rename(columns={"size": "n"})

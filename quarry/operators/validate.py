@@ -9,9 +9,6 @@ from quarry.functions import geometry as g
 from quarry.functions import text as t
 
 from . import layout
-from .coverage import union_all
-
-DETAIL = ("rule_id", "key", "detail")
 
 
 def violations(df: DataFrame, rule: str, key: Column, broken: Column, detail: Column | str = "") -> DataFrame:
@@ -122,5 +119,3 @@ def first_bad(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The first violation of each key."""
     return rows.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_r = 1").drop("_r")
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["union_all"]

@@ -30,12 +30,12 @@ def mob_box_counts(spark, sf):
 
 
 @query(
-    """WITH u AS (SELECT split, item, count(*) AS n FROM {uses} GROUP BY ALL), k AS (SELECT DISTINCT item FROM {items} WHERE item <= 400), s AS (SELECT unnest(['train', 'val', 'test']) AS split)
+    """WITH u AS (SELECT split, item, count(*) AS n FROM {uses} GROUP BY ALL), k AS (SELECT DISTINCT item FROM {items}), s AS (SELECT unnest(['train', 'val', 'test']) AS split)
     SELECT split, min(n) AS least_seen, min(coalesce(n, 0)) AS least, count_if(coalesce(n, 0) < 4) AS below FROM s CROSS JOIN k LEFT JOIN u USING (split, item) GROUP BY split"""
 )
 def item_coverage_minima(spark, sf):
     """Least uses per split over the seen and over all eligible items."""
-    uses, items = view(spark, sf, "uses"), view(spark, sf, "items").where("item <= 400").select("item").distinct()
+    uses, items = view(spark, sf, "uses"), view(spark, sf, "items").select("item").distinct()
     splits = spark.createDataFrame([("train",), ("val",), ("test",)], "split string")
     every = c.filled(uses.select("split", "item"), items.crossJoin(F.broadcast(splits)), ["split", "item"])  # three splits
     seen = F.when(F.col("n") > 0, F.col("n"))

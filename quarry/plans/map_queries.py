@@ -33,10 +33,11 @@ def multi_platform_mobs(spark, sf):
     return m.with_neighbours(view(spark, sf, "spawns"), g.WIDTH // 2 - 80, g.HEIGHT - 48)
 
 
-@query("SELECT a.map_id, a.spawn_id, count(*) AS near FROM {spawns} a JOIN {spawns} b ON a.map_id = b.map_id AND abs(a.x - b.x) <= 350 AND abs(a.y - b.y) <= 70 WHERE a.spawn_id % 5 = 0 GROUP BY ALL")
+@query("SELECT a.map_id, a.spawn_id, count(*) AS near FROM {spawns} a JOIN {spawns} b ON a.map_id = b.map_id AND abs(a.x - b.x) <= 350 AND abs(a.y - b.y) <= 70 WHERE a.spawn_id = 1 GROUP BY ALL")
 def spawns_near_anchors(spark, sf):
+    """Spawns in the box round each map's anchor, its first spawn."""
     s = view(spark, sf, "spawns")
-    return m.near_anchors(s.where("spawn_id % 5 = 0"), s, 350, 70)
+    return m.near_anchors(s.where("spawn_id = 1"), s, 350, 70)
 
 
 @query(
@@ -124,13 +125,13 @@ def nearest_actor(spark, sf):
 
 
 @query(
-    """WITH b AS (SELECT image_id, idx, x - 640 AS base, greatest(1, w) AS step, w FROM {boxes} WHERE image_id % 20 = 0)
+    """WITH b AS (SELECT image_id, idx, x - 640 AS base, w + 400 AS step, w FROM {boxes})
     SELECT image_id, idx, unnest(range((floor((-w - base) / step) + 1)::BIGINT, ceil((1280 - base) / step)::BIGINT)) * step + base AS place FROM b"""
 )
 def tiled_positions(spark, sf):
     """Where a repeated background sprite is drawn."""
-    b = view(spark, sf, "boxes").where("image_id % 20 = 0")
-    at = g.tile_range(F.col("x") - 640, F.greatest(F.lit(1), "w"), g.WIDTH, F.col("w"))
+    b = view(spark, sf, "boxes")
+    at = g.tile_range(F.col("x") - 640, F.col("w") + 400, g.WIDTH, F.col("w"))
     return b.select("image_id", "idx", F.explode(at).alias("place"))
 
 
