@@ -28,12 +28,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
 from .pieces import BYTE, CONTROL, MARK, UNKNOWN, read_model
 
 WORD = 32
 #: Probability of a character outside all pieces; start value of every piece in the expectation step.
 STRAY, START = 1e-7, 1 / 256
-CACHE_WORDS = 400_000
+CACHE_WORDS, LATTICE = 300_000, 20_000
 LETTERS = re.compile(r"[^\W\d_]+").findall
 _PARTS = re.compile(f".{{1,{WORD}}}", re.S).findall
 
@@ -124,8 +125,8 @@ def learn(train: DataFrame, model: str, text: str = "text", lang: str = "lang",
             words = list(seen[k])
             counts = np.fromiter(seen[k].values(), float, len(words))
             seen[k] = Counter()
-            for i in range(0, len(words), 100_000):
-                got = Lattice(words[i : i + 100_000], model).expected(np.full(n, START), counts[i : i + 100_000])
+            for i in range(0, len(words), LATTICE):
+                got = Lattice(words[i : i + LATTICE], model).expected(np.full(n, START), counts[i : i + LATTICE])
                 total[k] = total.get(k, 0) + got
 
         for pdf in batches:
@@ -142,7 +143,7 @@ def learn(train: DataFrame, model: str, text: str = "text", lang: str = "lang",
 
     rows = train.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     # sums of doubles depend on the order in which tasks end: whole millionths make reruns agree
-    uses = rows.mapInPandas(count, "lang string, piece int, uses double").groupBy("lang", "piece").agg(F.sum(F.round(F.col("uses") * 1e6).cast("long")).alias("uses"))
+    uses = rows.mapInPandas(tidy(count), "lang string, piece int, uses double").groupBy("lang", "piece").agg(F.sum(F.round(F.col("uses") * 1e6).cast("long")).alias("uses"))
     got = uses.toPandas()
     langs = sorted(got["lang"].unique())
     probabilities = np.full((len(langs), automaton(model)[1]), smooth)
@@ -168,8 +169,8 @@ class Scorer:
         if len(self.index) > CACHE_WORDS:
             self.clear()
         new = list(set().union(*docs) - self.index.keys()) if docs else []
-        for i in range(0, len(new), 100_000):
-            part = new[i : i + 100_000]
+        for i in range(0, len(new), LATTICE):
+            part = new[i : i + LATTICE]
             lattice = Lattice(part, self.model)
             self.index.update(zip(part, range(len(self.rows), len(self.rows) + len(part)), strict=True))
             self.rows = np.vstack([self.rows, np.column_stack([lattice.scores(p) for p in self.p])]) if self.langs else self.rows

@@ -22,18 +22,20 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import ahocorasick
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-CACHE_WORDS, CACHE_CHARS = 500_000, 64
+CACHE_WORDS, CACHE_CHARS = 200_000, 64
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -103,9 +105,11 @@ class PieceCodec:
             if p.strip(MARK) or len(p) == 1:
                 self.automaton.add_word(p, (i, len(p)))
         self.automaton.make_automaton()
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[int, bool] = {}
         self.parts: dict[int, tuple[int, int] | None] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        #: Words seen last, and those of the generation before; a word found there moves on.
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.run = lru_cache(4096)(self._run)
 
     def _split(self, token: int) -> tuple[int, int] | None:
@@ -155,9 +159,9 @@ class PieceCodec:
         The last merges inside a and b are undone from the best-forming side back, and a pair that
         would have merged across the border before the merge that was undone speaks against it.
         """
-        key = (a, b)
+        key = a << 20 | b
         if key not in self.fits:
-            if len(self.fits) >= CACHE_WORDS:
+            if len(self.fits) >= 2 * CACHE_WORDS:
                 self.fits.clear()
             self.fits[key] = self._compatible(a, b)
         return self.fits[key]
@@ -195,7 +199,7 @@ class PieceCodec:
                 if before < 0:
                     last[end + 1] = token
                 else:
-                    fit = fits.get((before, token))
+                    fit = fits.get(before << 20 | token)
                     if compatible(before, token) if fit is None else fit:
                         last[end + 1] = token
         out: list[int] = []
@@ -208,23 +212,22 @@ class PieceCodec:
                 n -= 1
         return out[::-1]
 
-    def chunk(self, chunk: str) -> tuple[int, ...]:
-        """The marks before a word, and the word."""
-        got = self.cache.get(chunk)
+    def chunk(self, chunk: str) -> bytes:
+        """Ids, as native 32-bit integers, of the marks before a word and the word."""
+        got = self.cache.get(chunk) or self.older.get(chunk)
         if got is None:
             word = chunk.lstrip(MARK)
             marks = len(chunk) - len(word)
             ids = self._word(MARK * min(marks, 1) + word) if word else []
             if marks and word and ids[0] == self.ids[MARK]:
-                got = (*self.run(marks), *ids[1:])  # the mark stayed alone and merges with the others
+                ids = [*self.run(marks), *ids[1:]]  # the mark stayed alone and merges with the others
             elif marks > 1 or not word:
-                got = (*self.run(marks - bool(word)), *ids)
-            else:
-                got = tuple(ids)
-            if len(chunk) <= CACHE_CHARS:
-                if len(self.cache) >= CACHE_WORDS:
-                    self.cache.clear()
-                self.cache[chunk] = got
+                ids = [*self.run(marks - bool(word)), *ids]
+            got = array("I", ids).tobytes()
+        if len(chunk) <= CACHE_CHARS:
+            if len(self.cache) >= CACHE_WORDS:
+                self.older, self.cache = self.cache, {}
+            self.cache[chunk] = got
         return got
 
     words = staticmethod(re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall)
@@ -235,8 +238,12 @@ class PieceCodec:
             return []
         text = text.replace(" ", MARK)
         chunks = self.words(MARK + text if self.dummy else text)
-        get = self.cache.get
-        return list(chain.from_iterable([get(c) or self.chunk(c) for c in chunks]))
+        chunk = self.chunk
+        out: list[bytes] = []
+        for i in range(0, len(chunks), 4096):  # the cache may be renewed in between
+            get = self.cache.get
+            out += [get(c) or chunk(c) for c in chunks[i : i + 4096]]
+        return memoryview(b"".join(out)).cast("I").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The library's text of the ids: bytes are joined, broken sequences become U+FFFD each byte."""
@@ -295,4 +302,4 @@ def token_digests(df: DataFrame, model: str, text: str = "text", key: str = "doc
             yield pd.DataFrame(rows, columns=["key", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"key": pdf["key"].dtype})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(tidy(run), f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)

@@ -33,12 +33,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import tidy, written
 from .parity_join import by_unit
 from .shingles import _BASE, mix
 
 LENGTH, GRAM = 400, 128
-BUFFER, SORT, CHUNK = 2_000_000, 300_000, 512
+BUFFER, SORT, CHUNK = 400_000, 300_000, 512
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
@@ -187,12 +187,12 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in (b.iloc[i : i + 1000] for b in batches for i in range(0, len(b), 1000)):
             texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in pdf["text"]]
             found = anchor_runs(texts, length, gram)
             yield pd.DataFrame(
                 {
-                    "id": pdf["id"],
+                    "id": pdf["id"].to_numpy(),
                     "digest": [hashlib.sha256(t).hexdigest() for t in texts],
                     "n_bytes": [len(t) for t in texts],
                     "anchors": [r[0] for r in found],
@@ -200,7 +200,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
                 }
             )
 
-    table = written(docs.mapInPandas(scan, "id long, digest string, n_bytes long, anchors array<long>, firsts array<int>"))
+    table = written(docs.mapInPandas(tidy(scan), "id long, digest string, n_bytes long, anchors array<long>, firsts array<int>"))
     owners = written(table.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     about = table.select("id", "digest", "n_bytes").join(owners, "digest")
     first = table.join(owners.where("rep is not null").select("digest", "rep"), "digest").where("id = rep and n_bytes >= %d" % length)
@@ -225,7 +225,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
     reps = written(wanted.select("rep"))
     texts = docs.join(reps, docs.id == reps.rep, "left_semi")
     spans = written(
-        wanted.join(texts, wanted.rep == texts.id).select("rep", "text", "runs").mapInPandas(cut, "anchor long, rep long, lo int, hi int, span binary, key long")
+        wanted.join(texts, wanted.rep == texts.id).select("rep", "text", "runs").mapInPandas(tidy(cut), "anchor long, rep long, lo int, hi int, span binary, key long")
     )
     places = spans.select("anchor", "key", "rep", "lo", "hi").distinct()
     kinds = written(places.groupBy("anchor", "key").agg(F.count("*").alias("n")))
@@ -261,7 +261,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
             yield from sort(units)
 
     unit = ["anchor", "i", "j"]
-    partial = unique.repartition(parts, *unit).sortWithinPartitions(*unit).mapInPandas(stream, "anchor long, key long, a int, b int")
+    partial = unique.repartition(parts, *unit).sortWithinPartitions(*unit).mapInPandas(tidy(stream), "anchor long, key long, a int, b int")
     whole = kinds.where("n > 1").join(places, ["anchor", "key"]).select("rep", F.col("lo").alias("first"), F.col("hi").alias("last"))
     some = partial.join(kinds.where("n = 1").select("anchor", "key"), ["anchor", "key"], "left_semi").join(places, ["anchor", "key"])
     some = some.select("rep", (F.col("lo") + F.col("a")).alias("first"), (F.col("lo") + F.col("b")).alias("last"))
@@ -285,7 +285,7 @@ def _apply(df: DataFrame, function, schema: str, length: int, gram: int) -> tupl
                 rows.append((rep, *function(raw, gone)))
             yield pd.DataFrame(rows, columns=["rep", *[c.split()[0] for c in schema.split(", ")]])
 
-    got = per.join(texts, per.rep == texts.id).select("rep", "text", "cuts").mapInPandas(run, f"rep long, {schema}")
+    got = per.join(texts, per.rep == texts.id).select("rep", "text", "cuts").mapInPandas(tidy(run), f"rep long, {schema}")
     return about, got.dropDuplicates(["rep"])
 
 
