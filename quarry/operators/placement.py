@@ -129,3 +129,41 @@ def first_accepted(attempts: DataFrame, sample: str = "sample", attempt: str = "
     good = attempts.where("reason = 'accepted'")
     best = good.groupBy(sample).agg(F.min(attempt).alias("_first"))
     return good.join(best, sample).where(F.col(attempt) == F.col("_first")).drop("_first")
+
+
+def overlay_kinds(scene: Column, overlays: Column, loot: Column, death: Column) -> Column:
+    """Kinds of overlays of a sample: the ones its scene lists, loot where some is planned, death where the scene is of that
+    kind; a scene without a list gets what its name says."""
+    named = F.when(scene.contains("pet"), F.array(F.lit("pet"))).when(scene.contains("skill"), F.array(F.lit("skill"), F.lit("damage"))).otherwise(F.array().cast("array<string>"))
+    own = F.when(F.size(overlays) > 0, overlays).otherwise(named)
+    extra = F.concat(F.when(loot > 0, F.array(F.lit("loot"))).otherwise(F.array().cast("array<string>")), F.when(death, F.array(F.lit("death"))).otherwise(F.array().cast("array<string>")))
+    return F.array_sort(F.array_distinct(F.concat(own, extra)))
+
+
+def place_visual(samples: DataFrame, footholds: DataFrame, taken: DataFrame, gap: int, seed: int, steep: int = 8) -> DataFrame:
+    """(sample, x, y, foothold_id): one point for each sample at the left, middle or right of a nearly flat platform of its map
+    that keeps a gap from all taken points (sample, x); among those that do, a seeded choice. Samples without one are missing."""
+    flat = footholds.where(F.abs(F.col("y1") - F.col("y2")) <= steep).select(
+        "map_id", "foothold_id", "y1", F.explode(F.array(F.least("x1", "x2") + 10, F.expr("(x1 + x2) div 2").cast("int"), F.greatest("x1", "x2") - 10)).alias("px")
+    )
+    c = samples.join(flat, "map_id").select("sample", "foothold_id", F.col("px").alias("x"), F.col("y1").alias("y"))
+    t = taken.select(F.col("sample").alias("s"), F.col("x").alias("tx"))
+    free = c.join(t, (c.sample == t.s) & (F.abs(c.x - t.tx) < gap), "left_anti")
+    best = free.groupBy("sample").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "sample", "foothold_id", "x").alias("r"), "x", "y", "foothold_id")).alias("b"))
+    return best.select("sample", "b.x", "b.y", "b.foothold_id")
+
+
+def thinned(spawns: DataFrame, step_x: int = 40, step_y: int = 30) -> DataFrame:
+    """Spawns of each map such that no two are nearer than both steps; earlier spawns win. One map is one small group."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("spawn_id")
+        kept: list[int] = []
+        xs, ys = pdf["x"].to_numpy(), pdf["y"].to_numpy()
+        for i in range(len(pdf)):
+            if not kept or not ((np.abs(xs[kept] - xs[i]) < step_x) & (np.abs(ys[kept] - ys[i]) < step_y)).any():
+                kept.append(i)
+        return pdf.iloc[kept]
+
+    rows = spawns.select("map_id", "spawn_id", "x", "y")
+    return rows.groupBy("map_id").applyInPandas(one, rows.schema)

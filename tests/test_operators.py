@@ -324,3 +324,21 @@ def test_validation_report(spark):
     rows = spark.createDataFrame([("A", str(i), "") for i in range(150)] + [("B", "x", "")], "rule_id string, key string, detail string")
     got = {r.rule_id: (r.n, len(r["keys"])) for r in report.validation_report(rows).collect()}
     assert got == {"A": (150, 100), "B": (1, 1)}
+
+
+def test_visuals_overlays_and_thinning(spark):
+    from quarry.operators import placement
+
+    footholds = spark.createDataFrame([(1, 1, 0, 50, 400, 52), (1, 2, 0, 0, 300, 90)], "map_id int, foothold_id int, x1 int, y1 int, x2 int, y2 int")
+    samples = spark.createDataFrame([(i, 1) for i in range(30)], "sample long, map_id int")
+    taken = spark.createDataFrame([(i, 200) for i in range(30)] + [(0, 10), (0, 390)], "sample long, x int")
+    got = {r.sample: r for r in placement.place_visual(samples, footholds, taken, 48, 5).collect()}
+    assert set(got) == set(range(1, 30)) and {r.x for r in got.values()} == {10, 390} and {r.foothold_id for r in got.values()} == {1}
+    df = spark.createDataFrame([("negative_pet", [], 0, False), ("x", ["skill"], 3, True)], "scene string, overlays array<string>, loot int, death boolean")
+    kinds = df.select(placement.overlay_kinds(F.col("scene"), F.col("overlays"), F.col("loot"), F.col("death")).alias("k")).collect()
+    assert [r.k for r in kinds] == [["pet"], ["death", "loot", "skill"]]
+    rng = np.random.default_rng(3)
+    rows = [(m, i, int(rng.integers(0, 500)), int(rng.integers(0, 100))) for m in range(3) for i in range(60)]
+    kept = placement.thinned(spark.createDataFrame(rows, "map_id int, spawn_id int, x int, y int")).collect()
+    near = lambda a, b: a.map_id == b.map_id and abs(a.x - b.x) < 40 and abs(a.y - b.y) < 30
+    assert not any(near(a, b) for a in kept for b in kept if a.spawn_id < b.spawn_id) and {(r.map_id, r.spawn_id) for r in kept} >= {(m, 0) for m in range(3)}
