@@ -148,7 +148,7 @@ def place_visual(samples: DataFrame, footholds: DataFrame, taken: DataFrame, gap
     )
     c = samples.join(flat, "map_id").select("sample", "foothold_id", F.col("px").alias("x"), F.col("y1").alias("y"))
     t = taken.select(F.col("sample").alias("s"), F.col("x").alias("tx"))
-    free = c.join(t, (c.sample == t.s) & (F.abs(c.x - t.tx) < gap), "left_anti")
+    free = c.join(t, (c["sample"] == t["s"]) & (F.abs(c["x"] - t["tx"]) < gap), "left_anti")
     best = free.groupBy("sample").agg(F.min(F.struct(F.xxhash64(F.lit(seed), "sample", "foothold_id", "x").alias("r"), "x", "y", "foothold_id")).alias("b"))
     return best.select("sample", "b.x", "b.y", "b.foothold_id")
 
