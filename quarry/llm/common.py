@@ -41,23 +41,45 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def tidy(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """run for mapInPandas, giving memory back to the system when its partition is done: Python workers are
-    reused, and what one operator's largest batch took would stay with the worker through all that follow."""
+#: What an operator keeps in a worker process between partitions: name -> how to drop it.
+KEPT: dict[str, Callable[[], None]] = {}
+TEXTS = 2000
+
+
+def release(keep: str = "") -> None:
+    """Drops what other operators keep in this worker and gives free memory back to the system."""
+    for name, drop in KEPT.items():
+        if name != keep:
+            drop()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
+def tidy(run: Callable[[Iterator], Iterator], keep: str = "") -> Callable[[Iterator], Iterator]:
+    """run for mapInPandas, releasing memory before and after its partition: Python workers are reused, and what one
+    operator's largest batch took would stay with the worker through all that follow."""
 
     @functools.wraps(run)
-    def wrapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def wrapped(batches: Iterator) -> Iterator:
+        release(keep)
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
-        except (OSError, AttributeError):  # another C library
-            return
+        release(keep)
 
     return wrapped
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """df, after holding Arrow batches of its session at TEXTS rows: batches count rows, and rows here are whole texts of any length."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(name, "10000")) > TEXTS or int(conf.get(name, "10000")) <= 0:
+        conf.set(name, str(TEXTS))
+    return df
+
+
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Least index of each of n nodes' component, for links a-b inside one task."""
     least = np.arange(n)

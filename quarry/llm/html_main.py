@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches
 from .url_filter import with_parts
 
 TOKEN = re.compile(
@@ -146,6 +147,7 @@ def extract(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
             rows.append((text, path))
         return pd.DataFrame(rows, columns=["text", "path"])
 
+    df = in_small_batches(df)
     hosts = with_parts(df.select(F.col(url).alias("url"), F.col(html).alias("html"))).select("host", best("html").alias("path"))
     votes = hosts.groupBy("host", "path").agg(F.count("*").alias("n"))
     winners = (

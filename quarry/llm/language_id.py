@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import KEPT, in_small_batches, tidy
 from .pieces import BYTE, CONTROL, MARK, UNKNOWN, read_model
 
 WORD = 32
@@ -58,6 +58,9 @@ def automaton(model: str) -> tuple[ahocorasick.Automaton, int]:
     return out, len(pieces)
 
 
+KEPT["language"] = automaton.cache_clear
+
+
 class Lattice:
     """All segmentations of a list of words, each with the word mark before it."""
 
@@ -143,7 +146,7 @@ def learn(train: DataFrame, model: str, text: str = "text", lang: str = "lang",
 
     rows = train.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
     # sums of doubles depend on the order in which tasks end: whole millionths make reruns agree
-    uses = rows.mapInPandas(tidy(count), "lang string, piece int, uses double").groupBy("lang", "piece").agg(F.sum(F.round(F.col("uses") * 1e6).cast("long")).alias("uses"))
+    uses = in_small_batches(rows).mapInPandas(tidy(count, "language"), "lang string, piece int, uses double").groupBy("lang", "piece").agg(F.sum(F.round(F.col("uses") * 1e6).cast("long")).alias("uses"))
     got = uses.toPandas()
     langs = sorted(got["lang"].unique())
     probabilities = np.full((len(langs), automaton(model)[1]), smooth)
@@ -189,8 +192,7 @@ class Scorer:
 def identify(df: DataFrame, langs: list[str], probabilities: np.ndarray, model: str, text: str = "text") -> DataFrame:
     """df with lang_pred and score (posterior under equal priors); clashing columns are replaced."""
 
-    @F.pandas_udf("lang_pred string, score double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(langs, probabilities, model)
         for texts in batches:
             found: list[tuple[str, float]] = []
@@ -198,7 +200,11 @@ def identify(df: DataFrame, langs: list[str], probabilities: np.ndarray, model:
                 found += scorer.predict(texts.iloc[i : i + 500].tolist())
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    return df.drop("lang_pred", "score").withColumn("_id", run(F.col(text))).select("*", "_id.*").drop("_id")
+    @F.pandas_udf("lang_pred string, score double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from tidy(predicted, "language")(batches)
+
+    return in_small_batches(df.drop("lang_pred", "score")).withColumn("_id", run(F.col(text))).select("*", "_id.*").drop("_id")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, tidy, written
+from .common import components, forest, in_small_batches, tidy, written
 from .shingles import mix, shingle_sets
 
 NUM, DEN = 3, 4
@@ -410,6 +410,7 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     """(key, n_shingles, component_id) of every row."""
     spark = df.sparkSession
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    docs = in_small_batches(docs)
     about = written(describe(docs, k))
     classes = about.where("n > 0 and id is not null").groupBy("one", "two", "n").agg(F.min(F.struct("id", "sketch")).alias("m"))
     classes = written(classes.select("one", "two", "n", F.col("m.id").alias("rep"), F.col("m.sketch").alias("sketch")))

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import KEPT, in_small_batches, tidy
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -260,9 +260,12 @@ def codec(path: str) -> PieceCodec:
     return PieceCodec(path)
 
 
+KEPT["pieces"] = codec.cache_clear
+
+
 def encode_ids(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """df with an array<int> column of ids: whole texts; null and empty texts have no ids. A clashing column is replaced."""
-    df = df.drop(ids)
+    df = in_small_batches(df.drop(ids))
 
     @F.pandas_udf("array<int>")
     def run(texts: pd.Series) -> pd.Series:
@@ -274,7 +277,7 @@ def encode_ids(df: DataFrame, model: str, text: str = "text", ids: str = "ids")
 
 def decode_ids(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """df with the decoded text of an array of ids; null ids give an empty text."""
-    df = df.drop(text)
+    df = in_small_batches(df.drop(text))
 
     @F.pandas_udf("string")
     def run(rows: pd.Series) -> pd.Series:
@@ -302,4 +305,5 @@ def token_digests(df: DataFrame, model: str, text: str = "text", key: str = "doc
             yield pd.DataFrame(rows, columns=["key", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"key": pdf["key"].dtype})
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(tidy(run), f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    rows = in_small_batches(df.select(F.col(key).alias("key"), F.col(text).alias("text")))
+    return rows.mapInPandas(tidy(run, "pieces"), f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
