@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import components, forest, tidy, written
 from .topk import usable
 
-PARTS, CODE, ALPHA, LEAST, CHUNK, SEED = 2, 48, 0.30, 8, 1024, 20240607
+PARTS, CODE, ALPHA, LEAST, CHUNK, SEED = 2, 48, 0.30, 16, 1024, 20240607
 
 
 class Filters:
@@ -102,6 +102,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
     listed = written(sound.mapInPandas(tidy(decode), f"label {kind}, width int, filter int, id long, vector binary, held binary"))
     # chunks of large filters: the rows of a filter are cut by a hash, and each pair of chunks is one unit of work
     large = listed.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > CHUNK).withColumn("chunks", F.ceil(F.col("n") * 1.25 / CHUNK).cast("int")).drop("n")
+    large = written(large)  # a plain table: the join below can then split a hot filter's partition
     cut = listed.join(large, group, "left")
     own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     cut = cut.withColumn("own", F.coalesce(own, F.lit(0))).withColumn("chunks", F.coalesce("chunks", F.lit(1)))

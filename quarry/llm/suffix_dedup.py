@@ -18,9 +18,9 @@ is still a source of repeats for others. Anchors whose distinct spans exceed CHU
 no task holds an unbounded group, and no span is left out. Texts cross the network only where
 a run of theirs is repeated. Overlaps count, and all repeats are judged on the input.
 
-Null texts count as empty; texts under LENGTH bytes stay whole. Rows that repeat an id with the same text
-are copies of each other. A null id is kept in the result, joined by the text's digest. Ids are
-expected to name one text; of two texts with one id the first steps still judge both.
+Null texts count as empty; texts under LENGTH bytes stay whole. An id names one text: rows that repeat an id
+repeat its text and are copies of each other. A null id is kept in the result and is never a source itself unless
+a row with an id has the same text.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy, written
+from .common import in_small_batches, tidy, written
 from .parity_join import by_unit
 from .shingles import _BASE, mix
 
@@ -187,12 +187,12 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in (b.iloc[i : i + 1000] for b in batches for i in range(0, len(b), 1000)):
+        for pdf in batches:
             texts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in pdf["text"]]
             found = anchor_runs(texts, length, gram)
             yield pd.DataFrame(
                 {
-                    "id": pdf["id"].to_numpy(),
+                    "id": pdf["id"],
                     "digest": [hashlib.sha256(t).hexdigest() for t in texts],
                     "n_bytes": [len(t) for t in texts],
                     "anchors": [r[0] for r in found],
@@ -200,7 +200,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
                 }
             )
 
-    table = written(docs.mapInPandas(tidy(scan), "id long, digest string, n_bytes long, anchors array<long>, firsts array<int>"))
+    table = written(in_small_batches(docs).mapInPandas(tidy(scan), "id long, digest string, n_bytes long, anchors array<long>, firsts array<int>"))
     owners = written(table.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     about = table.select("id", "digest", "n_bytes").join(owners, "digest")
     first = table.join(owners.where("rep is not null").select("digest", "rep"), "digest").where("id = rep and n_bytes >= %d" % length)
@@ -209,7 +209,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
         F.explode(F.arrays_zip("anchors", "firsts", F.concat(F.slice("firsts", 2, F.size("firsts")), F.array((F.col("n_bytes") - (length - 1)).cast("int"))).alias("ends"))).alias("r"),
     ).select("rep", F.col("r.anchors").alias("anchor"), F.col("r.firsts").alias("lo"), (F.col("r.ends") - 1).alias("hi")).distinct()
     runs = written(runs)
-    again = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # written, so that the joins below have a plain shuffle on either side and a hot anchor's partition can be split
+    again = written(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     wanted = written(runs.join(again, "anchor", "left_semi").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "anchor"))).alias("runs")))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -230,7 +231,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
     places = spans.select("anchor", "key", "rep", "lo", "hi").distinct()
     kinds = written(places.groupBy("anchor", "key").agg(F.count("*").alias("n")))
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
-    mixed = mixed.select("anchor", F.when(F.col("kinds") > CHUNK, F.ceil(F.col("kinds") * 1.25 / CHUNK)).otherwise(1).cast("int").alias("chunks"))
+    mixed = written(mixed.select("anchor", F.when(F.col("kinds") > CHUNK, F.ceil(F.col("kinds") * 1.25 / CHUNK)).otherwise(1).cast("int").alias("chunks")))
     unique = spans.join(mixed, "anchor").groupBy("anchor", "key", "chunks").agg(F.first("span").alias("span"))
     unique = unique.withColumn("own", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
     unique = unique.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
