@@ -63,3 +63,14 @@ def tile_range(base: Column, step: Column, extent: int, sprite: Column) -> Colum
     first = F.floor((-sprite - base) / step) + 1
     last = F.ceil((extent - base) / step) - 1
     return F.when(last >= first, F.transform(F.sequence(first, last), lambda i: (base + i * step).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+
+def parallax_base(place: Column, camera: Column, rate: Column, extent: int, origin: Column) -> Column:
+    """Where a background sprite's corner is drawn: rate is the percentage of the camera's way that the sprite moves along
+    (0: pinned to the screen, -100: pinned to the world); rounded half to even."""
+    return F.bround(place + extent / 2 + (camera + extent / 2) * rate / 100 - origin).cast("int")
+
+
+def clamped(x: Column, size: Column, extent: int = WIDTH) -> Column:
+    """The nearest place at which a sprite of a size lies inside [0, extent); 0 for one that is larger."""
+    return F.greatest(F.lit(0), F.least(x, extent - size))

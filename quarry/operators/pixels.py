@@ -149,6 +149,45 @@ def png(image: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
 
 
+def read_png(data: bytes) -> np.ndarray:
+    """Pixels of an 8-bit RGB or RGBA file without interlacing; RGB gets full alpha."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("not a PNG file")
+    at, packed, head = 8, b"", b""
+    while at + 8 <= len(data):
+        size, kind = struct.unpack(">I4s", data[at : at + 8])
+        body = data[at + 8 : at + 8 + size]
+        head, packed = (body if kind == b"IHDR" else head), (packed + body if kind == b"IDAT" else packed)
+        at += 12 + size
+    width, height, depth, colour, _, _, laced = struct.unpack(">IIBBBBB", head)
+    if depth != 8 or colour not in (2, 6) or laced:
+        raise ValueError("only 8-bit RGB and RGBA without interlacing")
+    n = 3 if colour == 2 else 4
+    rows = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(height, 1 + width * n)
+    out = np.zeros((height, width, n), np.uint8)
+    above = np.zeros((width, n), np.int64)
+    for y, row in enumerate(rows):
+        line = row[1:].reshape(width, n).astype(np.int64)
+        if row[0] == 1:
+            line = np.cumsum(line, axis=0)
+        elif row[0] == 2:
+            line = line + above
+        elif row[0] in (3, 4):
+            left, corner = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            for x in range(width):
+                if row[0] == 3:
+                    guess = (left + above[x]) // 2
+                else:
+                    p = left + above[x] - corner
+                    a, b, c = np.abs(p - left), np.abs(p - above[x]), np.abs(p - corner)
+                    guess = np.where((a <= b) & (a <= c), left, np.where(b <= c, above[x], corner))
+                line[x] = (line[x] + guess) & 255
+                left, corner = line[x], above[x]
+        above = line & 255
+        out[y] = above
+    return out if n == 4 else np.concatenate([out, np.full((height, width, 1), 255, np.uint8)], axis=2)
+
+
 def _images(pdf: pd.DataFrame) -> Iterator[tuple[str, np.ndarray]]:
     for path, h, w, raw in zip(pdf["path"], pdf["height"], pdf["width"], pdf["pixels"], strict=True):
         yield path, np.frombuffer(raw, np.uint8).reshape(h, w, 4)

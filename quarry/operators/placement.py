@@ -167,3 +167,21 @@ def thinned(spawns: DataFrame, step_x: int = 40, step_y: int = 30) -> DataFrame:
 
     rows = spawns.select("map_id", "spawn_id", "x", "y")
     return rows.groupBy("map_id").applyInPandas(one, rows.schema)
+
+
+def edge_camera(actors: DataFrame, cameras: DataFrame, bounds: DataFrame, seed: int, width: int = g.WIDTH, height: int = g.HEIGHT) -> DataFrame:
+    """(sample, camera_x, camera_y) that cuts 10 to 70 percent of an outermost actor, on a side that a hash picks (left and right
+    twice as often as top and bottom). actors: (sample, map_id, slot, x, y, w, h), x and y the top left corner in the world."""
+    unit = lambda name: F.pmod(F.xxhash64(F.lit(seed), F.lit(name), "sample"), F.lit(1_000_000)) / 1_000_000
+    side = F.element_at(F.array(*map(F.lit, ["left", "right", "left", "right", "top", "bottom"])), F.floor(unit("side") * 6).cast("int") + 1)
+    box = F.struct("slot", "x", "y", "w", "h")
+    outer = actors.groupBy("sample", "map_id").agg(
+        F.min_by(box, F.struct("x", "slot")).alias("l"), F.max_by(box, F.struct(F.col("x") + F.col("w"), "slot")).alias("r"),
+        F.min_by(box, F.struct("y", "slot")).alias("t"), F.max_by(box, F.struct(F.col("y") + F.col("h"), "slot")).alias("b"),
+    )
+    rows = outer.withColumns({"side": side, "cut": 0.1 + 0.6 * unit("cut")}).join(cameras, "sample").join(bounds, "map_id")
+    gone = lambda c, size: F.bround(F.col(f"{c}.{size}") * F.col("cut")).cast("int")
+    x = F.when(F.col("side") == "left", F.col("l.x") + gone("l", "w")).when(F.col("side") == "right", F.col("r.x") + F.col("r.w") - gone("r", "w") - width).otherwise(F.col("camera_x"))
+    y = F.when(F.col("side") == "top", F.col("t.y") + gone("t", "h")).when(F.col("side") == "bottom", F.col("b.y") + F.col("b.h") - gone("b", "h") - height).otherwise(F.col("camera_y"))
+    clamp = lambda v, low, high: F.greatest(F.col(low), F.least(F.col(high), v))
+    return rows.select("sample", clamp(x, "left_", "right_").alias("camera_x"), clamp(y, "top_", "bottom_").alias("camera_y"), "side")

@@ -32,6 +32,11 @@ def listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return names.join(files.select("path", "length"), "path", "left").select("path", F.coalesce("length", F.lit(0)).alias("length"))
 
 
+def reusable(index: DataFrame, bundles: DataFrame) -> bool:
+    """Whether a stored asset index can be used again: all bundles that it refers to are still there."""
+    return index.select("bundle").distinct().join(bundles.select(F.element_at(F.split("path", "/"), -1).alias("bundle")), "bundle", "left_anti").isEmpty()
+
+
 def catalog_version(files: DataFrame) -> DataFrame:
     """The version named by the last catalog file, unknown without one."""
     return files.agg(F.coalesce(F.max(F.regexp_extract("path", r"catalog_(.+)\.bin$", 1)), F.lit("")).alias("v")).select(F.when(F.col("v") != "", F.col("v")).otherwise("unknown").alias("version"))

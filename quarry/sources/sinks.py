@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from pathlib import Path
 
 import yaml
@@ -31,6 +32,28 @@ def write_label_files(bodies: DataFrame, folder: str, name: str = "stem", split:
     bodies.select(split, name, "body").foreachPartition(put)
 
 
+def write_images(images: DataFrame, folder: str, suffix: str = ".png") -> None:
+    """One file per image at folder/split/stem, put in place by renaming; rows are (split, stem, image)."""
+    root = str(folder)
+
+    def put(rows) -> None:
+        for r in rows:
+            target = Path(root) / r["split"] / f"{r['stem']}{suffix}"
+            target.parent.mkdir(parents=True, exist_ok=True)
+            part = target.with_suffix(".part")
+            part.write_bytes(bytes(r["image"]))
+            part.replace(target)
+
+    images.select("split", "stem", "image").foreachPartition(put)
+
+
+def enough_disk(folder: str | Path, gigabytes: float) -> None:
+    """Raises if less is free; for the driver to call before each batch."""
+    free = shutil.disk_usage(folder).free / 1e9
+    if free < gigabytes:
+        raise OSError(f"{free:.1f} GB free, {gigabytes} needed")
+
+
 def coco_documents(images: DataFrame, annotations: DataFrame, classes: list[str]) -> DataFrame:
     """(split, document): one JSON document per split. A document is as large as its split's labels: write
     tables (Parquet, or JSON lines per split) where a split does not fit one file."""

@@ -342,3 +342,49 @@ def test_visuals_overlays_and_thinning(spark):
     kept = placement.thinned(spark.createDataFrame(rows, "map_id int, spawn_id int, x int, y int")).collect()
     near = lambda a, b: a.map_id == b.map_id and abs(a.x - b.x) < 40 and abs(a.y - b.y) < 30
     assert not any(near(a, b) for a in kept for b in kept if a.spawn_id < b.spawn_id) and {(r.map_id, r.spawn_id) for r in kept} >= {(m, 0) for m in range(3)}
+
+
+def test_parallax_and_clamp(spark):
+    df = spark.createDataFrame([(0, 0, 900), (925, -100, 900)], "x int, rx int, camera int")
+    assert [r.b for r in df.select(g.parallax_base(F.col("x"), F.col("camera"), F.col("rx"), 100, F.lit(2)).alias("b")).collect()] == [48, 23]
+    df = spark.createDataFrame([(-5, 10), (1275, 10), (7, 2000)], "x int, w int")
+    assert [r.c for r in df.select(g.clamped(F.col("x"), F.col("w")).alias("c")).collect()] == [0, 1270, 0]
+    left, top = g.frame_box(F.lit(0), F.lit(0), F.lit(True))
+    assert tuple(spark.createDataFrame([(25, 20, 10, 2, 5)], "world_x int, world_y int, width int, origin_x int, origin_y int").select(left, top).first()) == (17, 15)
+
+
+def test_png_round_trip():
+    import struct
+    import zlib
+
+    rng = np.random.default_rng(0)
+    image = rng.integers(0, 255, (9, 7, 4)).astype(np.uint8)
+    assert (pixels.read_png(pixels.png(image)) == image).all()
+    # one row with each filter, built by hand
+    plain = rng.integers(0, 255, (5, 6, 3)).astype(np.int64)
+    raw, above = b"", np.zeros((6, 3), np.int64)
+    for kind, row in enumerate(plain):
+        left = np.concatenate([np.zeros((1, 3), np.int64), row[:-1]])
+        corner = np.concatenate([np.zeros((1, 3), np.int64), above[:-1]])
+        p = left + above - corner
+        a, b, c = abs(p - left), abs(p - above), abs(p - corner)
+        paeth = np.where((a <= b) & (a <= c), left, np.where(b <= c, above, corner))
+        guess = [0 * row, left, above, (left + above) // 2, paeth][kind]
+        raw += bytes([kind]) + ((row - guess) & 255).astype(np.uint8).tobytes()
+        above = row
+    chunk = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+    data = b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 6, 5, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
+    assert (pixels.read_png(data)[..., :3] == plain).all()
+    with pytest.raises(ValueError):
+        pixels.read_png(b"GIF89a")
+
+
+def test_edge_camera(spark):
+    from quarry.operators import placement
+
+    actors = spark.createDataFrame([(s, 1, i, 1000 + 100 * i, 300, 40, 50) for s in range(40) for i in range(4)], "sample long, map_id int, slot int, x int, y int, w int, h int")
+    cameras = spark.createDataFrame([(s, 600, 200) for s in range(40)], "sample long, camera_x int, camera_y int")
+    bounds = spark.createDataFrame([(1, -5000, 5000, -5000, 5000)], "map_id int, left_ int, right_ int, top_ int, bottom_ int")
+    for r in placement.edge_camera(actors, cameras, bounds, 3).collect():
+        seen = {"left": (1040 - r.camera_x) / 40, "right": (r.camera_x + 1280 - 1300) / 40, "top": (350 - r.camera_y) / 50, "bottom": (r.camera_y + 224 - 300) / 50}[r.side]
+        assert 0.27 <= seen <= 0.93

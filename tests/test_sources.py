@@ -183,3 +183,15 @@ def test_catalog_version(spark):
     df = spark.createDataFrame([("x/catalog_1.14.2.bin",), ("x/catalog_1.14.4.bin",), ("x/other",)], "path string")
     assert files.catalog_version(df).first().version == "1.14.4"
     assert files.catalog_version(df.limit(0)).first().version == "unknown"
+
+
+def test_images_disk_and_index(spark, tmp_path):
+    image = pixels.png(np.zeros((3, 4, 4), np.uint8))
+    sinks.write_images(spark.createDataFrame([("train", "s0", bytearray(image))], "split string, stem string, image binary"), tmp_path / "images")
+    assert (tmp_path / "images/train/s0.png").read_bytes() == image
+    sinks.enough_disk(tmp_path, 0)
+    with pytest.raises(OSError):
+        sinks.enough_disk(tmp_path, 1e12)
+    index = spark.createDataFrame([("a.bundle", "k"), ("b.bundle", "l")], "bundle string, asset_key string")
+    there = spark.createDataFrame([("x/a.bundle",), ("x/b.bundle",)], "path string")
+    assert files.reusable(index, there) and not files.reusable(index, there.limit(1))
