@@ -214,22 +214,35 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
     wanted = written(runs.join(again, "anchor", "left_semi").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "anchor"))).alias("runs")))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One row for each text, anchor and span: runs with equal spans, as a repeated line makes them, stay together."""
         for pdf in batches:
             for rep, t, own in zip(pdf["rep"], pdf["text"], pdf["runs"], strict=True):
                 raw = t.encode("utf-8", "surrogatepass")
-                rows = [(r["anchor"], rep, r["lo"], r["hi"], raw[r["lo"] : r["hi"] + length]) for r in own if r["hi"] + length <= len(raw)]
+                same: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
+                for r in own:
+                    if r["hi"] + length <= len(raw):
+                        same.setdefault((r["anchor"], raw[r["lo"] : r["hi"] + length]), []).append((r["lo"], r["hi"]))
+                rows = []
+                for (anchor, span), places in same.items():
+                    first, last = [], []
+                    for lo, hi in places:  # ascending
+                        if last and lo <= last[-1] + 1:
+                            last[-1] = hi
+                        else:
+                            first.append(lo)
+                            last.append(hi)
+                    key = int.from_bytes(hashlib.blake2b(span, digest_size=8).digest(), "little", signed=True)
+                    rows.append((anchor, rep, len(places), first, last, span, key))
                 if rows:
-                    out = pd.DataFrame(rows, columns=["anchor", "rep", "lo", "hi", "span"])
-                    out["key"] = [int.from_bytes(hashlib.blake2b(s, digest_size=8).digest(), "little", signed=True) for s in out["span"]]
-                    yield out
+                    yield pd.DataFrame(rows, columns=["anchor", "rep", "times", "firsts", "lasts", "span", "key"])
 
     reps = written(wanted.select("rep"))
     texts = docs.join(reps, docs.id == reps.rep, "left_semi")
     spans = written(
-        wanted.join(texts, wanted.rep == texts.id).select("rep", "text", "runs").mapInPandas(tidy(cut), "anchor long, rep long, lo int, hi int, span binary, key long")
+        wanted.join(texts, wanted.rep == texts.id).select("rep", "text", "runs").mapInPandas(tidy(cut), "anchor long, rep long, times int, firsts array<int>, lasts array<int>, span binary, key long")
     )
-    places = spans.select("anchor", "key", "rep", "lo", "hi").distinct()
-    kinds = written(places.groupBy("anchor", "key").agg(F.count("*").alias("n")))
+    places = spans.select("anchor", "key", "rep", "times", "firsts", "lasts").distinct()
+    kinds = written(places.groupBy("anchor", "key").agg(F.sum("times").alias("n")))
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
     mixed = written(mixed.select("anchor", F.when(F.col("kinds") > CHUNK, F.ceil(F.col("kinds") * 1.25 / CHUNK)).otherwise(1).cast("int").alias("chunks")))
     unique = spans.join(mixed, "anchor").groupBy("anchor", "key", "chunks").agg(F.first("span").alias("span"))
@@ -263,9 +276,11 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[D
 
     unit = ["anchor", "i", "j"]
     partial = unique.repartition(parts, *unit).sortWithinPartitions(*unit).mapInPandas(tidy(stream), "anchor long, key long, a int, b int")
-    whole = kinds.where("n > 1").join(places, ["anchor", "key"]).select("rep", F.col("lo").alias("first"), F.col("hi").alias("last"))
+    whole = kinds.where("n > 1").join(places, ["anchor", "key"]).select("rep", F.explode(F.arrays_zip("firsts", "lasts")).alias("p"))
+    whole = whole.select("rep", F.col("p.firsts").alias("first"), F.col("p.lasts").alias("last"))
     some = partial.join(kinds.where("n = 1").select("anchor", "key"), ["anchor", "key"], "left_semi").join(places, ["anchor", "key"])
-    some = some.select("rep", (F.col("lo") + F.col("a")).alias("first"), (F.col("lo") + F.col("b")).alias("last"))
+    place = F.element_at("firsts", 1)  # a span that occurs once has one place
+    some = some.select("rep", (place + F.col("a")).alias("first"), (place + F.col("b")).alias("last"))
     return about, whole.unionByName(some)
 
 
