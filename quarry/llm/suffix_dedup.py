@@ -38,7 +38,7 @@ from .parity_join import by_unit
 from .shingles import _BASE, mix
 
 LENGTH, GRAM = 400, 128
-BUFFER, SORT, CHUNK = 400_000, 300_000, 512
+BUFFER, SORT, CHUNK = 400_000, 100_000, 512
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
