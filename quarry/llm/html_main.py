@@ -6,7 +6,10 @@ containers on its host's winning path. A page without that path, or with no text
 its own best container. The votes are pre-aggregated per host and path; winners are joined under a salt, so
 a host with a third of all pages is dealt over many tasks.
 
-Kept: the blocks inside the chosen containers, in page order. Left out: menus, page headers, footers,
+The best container is the smallest one that holds nearly all text of the page that is not links (where an article
+or main element holds half of it, of the text in those). Kept, in page order: the blocks inside the chosen containers;
+beside them, unless they are mostly links, those under the outermost article, main or content element around the
+chosen ones, and those directly in any container around them. Left out: menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, comments of readers and markup. Character references
 are decoded, white space inside a block becomes one space. Null or empty html gives an empty text;
 a null url counts as host "". Rows are kept one for one.
@@ -38,6 +41,9 @@ BESIDE = re.compile(
     r"(?:^|[-_\s])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice\w*|alert|popup|modal|overlay|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side|aside|footer|header|masthead|topbar|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|widget\w*|toolbar|pagination|pager|copyright|legal|skip)(?:$|[-_\s\d])",
     re.I,
 )
+#: Parts of class and id names of the elements that hold an article with its title and lead.
+CONTENT = re.compile(r"(?:^|[-_\s])(?:article|post|hentry|entry|story|content|main)(?:$|[-_\s\d])", re.I)
+NEARLY = 0.9
 SALTS = 32
 
 
@@ -46,6 +52,8 @@ class Page:
 
     def __init__(self, source: str):
         self.blocks: list[tuple[str, tuple[str, ...], float]] = []
+        self.holders: set[str] = set()  # paths of article, main and content elements
+        self.declared: set[str] = set()  # paths of article and main elements
         stack: list[tuple[str, bool]] = []  # tag, whether it is left out
         paths: list[str] = []  # container path down to here, one for each open container
         hidden = links = 0
@@ -109,21 +117,37 @@ class Page:
             if tag in CONTAINER:
                 kind = re.sub(r"\d+", "#", ".".join(sorted(names.get("class", "").lower().split())))
                 paths.append(f"{paths[-1] if paths else ''}/{tag}{'.' + kind if kind else ''}")
+                if tag in ("article", "main") or names.get("role") in ("main", "article"):
+                    self.declared.add(paths[-1])
+                elif tag != "body" and (CONTENT.search(names.get("class", "")) or CONTENT.search(names.get("id", ""))):
+                    self.holders.add(paths[-1])
         if not hidden:
             flush()
 
     def best(self) -> str:
-        """The path whose containers hold the article: own blocks count in full, those of inner containers less."""
-        score: dict[str, float] = {}
-        for text, paths, linked in self.blocks:
-            worth = len(text) * (1 - linked) ** 2
-            for up, path in enumerate(reversed(paths)):
-                tag = path.rpartition("/")[2].partition(".")[0]
-                score[path] = score.get(path, 0.0) + worth / (1 + up) * (2.0 if tag == "article" else 1.5 if tag == "main" else 1.0)
-        return max(score, key=lambda p: (score[p], p)) if score else ""
+        """The path of the smallest containers that hold nearly all of the text; "" where only the whole page does."""
+        worth = [len(text) * (1 - linked) ** 2 for text, _, linked in self.blocks]
+        if not any(worth):
+            worth = [float(len(text)) for text, _, _ in self.blocks]
+        inside = [w if not self.declared.isdisjoint(paths) else 0.0 for w, (_, paths, _) in zip(worth, self.blocks, strict=True)]
+        if 2 * sum(inside) >= sum(worth):
+            worth = inside
+        score: dict[tuple[int, str], float] = {}
+        for w, (_, paths, _) in zip(worth, self.blocks, strict=True):
+            for at in enumerate(paths):
+                score[at] = score.get(at, 0.0) + w
+        least = NEARLY * sum(worth)
+        return max((at for at in score if score[at] >= least), default=(0, ""))[1]
 
     def text(self, path: str) -> str:
-        return " ".join([text for text, paths, _ in self.blocks if path in paths]) if path else " ".join([b[0] for b in self.blocks])
+        if not path:
+            return " ".join([b[0] for b in self.blocks])
+        around = next((paths[: paths.index(path)] for _, paths, _ in self.blocks if path in paths), None)
+        if around is None:
+            return ""
+        holder = next((p for p in around if p in self.declared or p in self.holders), path)
+        kept = lambda paths, linked: path in paths or (linked < 0.5 and (holder in paths or not paths or paths[-1] in around))
+        return " ".join([text for text, paths, linked in self.blocks if kept(paths, linked)])
 
 
 def extract(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:

@@ -187,3 +187,23 @@ def test_the_host_decides(spark):
     rows = [(i, "http://one.com/x", good(i), *["c"] * 5) for i in range(5)] + [(9, "http://one.com/y", odd, *["c"] * 5)]
     got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, URLS)).collect()}
     assert got[9] == "real but short" and html_main.Page(odd).best().endswith("teaser")
+
+
+def prose(n, word):
+    return (word + " ") * (n // (len(word) + 1))
+
+
+def test_nested_and_split_articles_are_whole(spark):
+    nested = page("<div class=post><h1>The title</h1><p>" + prose(300, "lead") + "</p><div class=entry-content><p>" + prose(2000, "body") + "</p></div></div><div class=more>" + prose(100, "teaser") + "</div>")
+    split = page("<article><div class=wrap><div class=intro>" + prose(600, "intro") + "</div><div class=body>" + prose(1400, "body") + "</div></div><p>The end</p></article>")
+    plain = page("<div class=x><h2>Heading</h2><div class=y><p>" + prose(2000, "body") + "</p></div></div>")
+    sections = page("<section class=a>" + prose(600, "one") + "</section><section class=b>" + prose(1400, "two") + "</section>")
+    links = page("<div class=a><a href=/>" + prose(90, "one") + "</a></div><div class=b><a href=/>" + prose(90, "two") + "</a></div>")
+    expected = {
+        nested: "The title " + prose(300, "lead") + prose(2000, "body"), split: prose(600, "intro") + prose(1400, "body") + "The end",
+        plain: "Heading " + prose(2000, "body"), sections: prose(600, "one") + prose(1400, "two"), links: prose(90, "one") + prose(90, "two"),
+    }
+    rows = [(10 * i + k, f"http://h{i}.com/{k}", source, *["c"] * 5) for i, source in enumerate(expected) for k in range(3)]
+    got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, URLS)).collect()}
+    for i, text in enumerate(expected.values()):
+        assert {got[10 * i + k] for k in range(3)} == {text.strip()}
