@@ -11,7 +11,8 @@ or main element holds half of it, of the text in those). Kept, in page order: th
 beside them, unless they are mostly links, those under the outermost article, main or content element around the
 chosen ones, and those directly in any container around them. Left out: menus, page headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, comments of readers and markup. Character references
-are decoded, white space inside a block becomes one space. Null or empty html gives an empty text;
+are decoded. Words of class and id names count only where they make up a whole name; what they mark is kept where
+it holds the page itself (see shown()). Open p, li, dd, dt, tr, td and head end where HTML ends them. White space inside a block becomes one space. Null or empty html gives an empty text;
 a null url counts as host "". Rows are kept one for one.
 """
 
@@ -36,17 +37,51 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 SKIP = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "label", "option"}
 CONTAINER = {"body", "main", "article", "section", "div", "td", "center"}
 BLOCK = CONTAINER | SKIP | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "pre", "blockquote", "table", "tr", "th", "header", "figure", "figcaption", "address", "hr", "br", "details", "summary", "html", "hgroup", "tbody", "thead", "tfoot", "caption", "fieldset"}
-#: Words of class and id names that mark text beside the article.
-BESIDE = re.compile(
-    r"(?:^|[-_\s])(?:ad|ads|advert\w*|adsense|banner|sponsor\w*|promo\w*|cookie\w*|consent|notice\w*|alert|popup|modal|overlay|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side|aside|footer|header|masthead|topbar|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|widget\w*|toolbar|pagination|pager|copyright|legal|skip)(?:$|[-_\s\d])",
-    re.I,
-)
+#: Words of class and id names that mark text beside the article, and those that may stand with them in one name.
+BESIDE = r"(?:ads?|advert\w*|adsense|banners?|sponsor\w*|promos?|promotion\w*|cookies?|consent|notices?|alerts?|popup|modal|overlay|nav|navbar|navigation|menus?|breadcrumbs?|sidebars?|side|aside|footer|masthead|topbar|comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommended|newsletter|subscribe|signup|login|search|widgets?|toolbar|pagination|pager|copyright|legal|skip)"
+BETWEEN = r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|area|list|box|bar|block|section|container|wrapper|wrap|inner|outer|col|column|links?|buttons?|btn|icons?|items?|unit|slot|form|posts?|entry|articles?|policy|media|google|\d+)"
+NAME = re.compile(rf"(?:{BETWEEN}[-_])*{BESIDE}\d*(?:[-_](?:{BESIDE}|{BETWEEN})\d*)*|(?:site|main|global)[-_]header|header", re.I)
+#: Words that mark a note of the article itself when it is inside one.
+NOTE = re.compile(r"notices?|alerts?|legal|side|aside|skip|search|promos?|overlay|header", re.I)
+READERS = re.compile(r"(?:^|[-_\s])(?:comments?|commentlist|disqus|replies|respond)(?:$|[-_\s\d])", re.I)
+ROLES = {"navigation", "banner", "complementary", "contentinfo", "search", "alert", "dialog"}
+#: Elements that are text themselves: no name puts them beside the article.
+TEXTUAL = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "dt", "dd", "pre", "blockquote", "figure", "figcaption", "caption", "html", "body", "article", "main"}
+#: Start tags that end an open p, and what each other element with an optional end tag is ended by, up to which element.
+ENDS_P = BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html", "button", "select", "label", "option", "head"}
+ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 #: Parts of class and id names of the elements that hold an article with its title and lead.
 CONTENT = re.compile(r"(?:^|[-_\s])(?:article|post|hentry|entry|story|content|main)(?:$|[-_\s\d])", re.I)
 NEARLY = 0.9
 SALTS = 32
 
 
+def beside(names: dict[str, str], tag: str, inside: bool) -> bool:
+    """Whether class, id or role mark the element as beside the article; inside: it is in an article or main element."""
+    words = names.get("class", "").split()
+    if not (inside and tag == "section") or READERS.search(names.get("id", "")):
+        words += names.get("id", "").split()
+    return names.get("role") in ROLES or any(NAME.fullmatch(w) and not ((inside or tag == "p") and NOTE.fullmatch(w)) for w in words)
+
+
+def shown(every: list, always: set[int], readers: set[int], heads: set[int]) -> list[tuple[str, tuple[str, ...], float]]:
+    """The blocks that no element leaves out. An element marked by its name (or a form) counts as the page itself where it
+    holds most of the text and a heading or article, or, unless it holds comments, nearly all text. With nothing left,
+    the blocks in any such element are shown, at last those of menus, footers and the like that have a heading or article."""
+    if not any(by for *_, by in every):
+        return [b[:3] for b in every]
+    worth = [0.0 if not always.isdisjoint(by) else len(text) * (1 - linked) ** 2 for text, _, linked, by in every]
+    total, held = sum(worth), {}
+    for w, (*_, by) in zip(worth, every, strict=True):
+        for x in by:
+            held[x] = held.get(x, 0.0) + w
+    open_ = {x for x, w in held.items() if x not in always and w > total / 2 and (x in heads or (x not in readers and w >= NEARLY * total))}
+    for free in (open_, held.keys() - always, held.keys() - (always - heads)):
+        if blocks := [b[:3] for b in every if all(x in free for x in b[3])]:
+            return blocks
+    return []
+
+
 class Page:
     """Blocks of one page: (text, container path, link share), and each path's score."""
 
@@ -54,9 +89,15 @@ class Page:
         self.blocks: list[tuple[str, tuple[str, ...], float]] = []
         self.holders: set[str] = set()  # paths of article, main and content elements
         self.declared: set[str] = set()  # paths of article and main elements
+        every: list[tuple[str, tuple[str, ...], float, tuple[int, ...]]] = []  # blocks, and the elements that leave them out
+        heads: set[int] = set()  # those of them with a heading, article or main element in them
+        readers: set[int] = set()  # those named after comments
+        always: set[int] = set()  # those that are left out by their tag alone
         stack: list[tuple[str, bool]] = []  # tag, whether it is left out
+        hiders: list[int] = []
+        n_out = 0
         paths: list[str] = []  # container path down to here, one for each open container
-        hidden = links = 0
+        links = 0
         parts: list[str] = []
         linked = 0
 
@@ -65,15 +106,18 @@ class Page:
             if parts:
                 text = " ".join(entities.unescape("".join(parts)).split())
                 if text:
-                    self.blocks.append((text, tuple(paths), min(1.0, linked / len(text))))
+                    every.append((text, tuple(paths), min(1.0, linked / len(text)), tuple(hiders)))
                 parts.clear()
             linked = 0
 
         def close(depth: int) -> None:
-            nonlocal hidden, links
+            nonlocal links
+            if any(out for _, out in stack[depth:]):
+                flush()
             while len(stack) > depth:
                 tag, out = stack.pop()
-                hidden -= out
+                if out:
+                    hiders.pop()
                 links -= tag == "a"
                 if tag in CONTAINER:
                     paths.pop()
@@ -87,13 +131,13 @@ class Page:
                 continue
             if tag is None:
                 s = m[0]
-                if not hidden and not s.startswith(("<!", "<?")):
+                if not s.startswith(("<!", "<?")):
                     parts.append(s)
                     if links:
                         linked += len(s)
                 continue
             tag = tag.lower()
-            if tag in BLOCK and not hidden:
+            if tag in BLOCK:
                 flush()
             if m[1]:
                 for i in range(len(stack) - 1, -1, -1):
@@ -101,6 +145,12 @@ class Page:
                         close(i)
                         break
                 continue
+            if tag in BLOCK and stack and stack[-1][0] == "head":
+                close(len(stack) - 1)
+            if tag in ENDS_P:
+                self.end_open(stack, {"p"}, {"table", "button", "object"}, close)
+            if tag in ENDS:
+                self.end_open(stack, *ENDS[tag], close)
             if tag in VOID:
                 continue
             if tag in RAW:
@@ -108,11 +158,21 @@ class Page:
                     raw = tag
                 continue
             names = dict((k.lower(), v.strip("\"'")) for k, v in CLASS.findall(m[3])) if m[3] else {}
-            out = tag in SKIP or (tag == "header" and not any(t in ("article", "main") for t, _ in stack))
-            if names and not out and tag not in ("html", "body", "article", "main"):
-                out = bool(BESIDE.search(names.get("class", "")) or BESIDE.search(names.get("id", "")) or names.get("role") in ("navigation", "banner", "complementary", "contentinfo", "search", "alert", "dialog"))
+            inside = any(t in ("article", "main") for t, _ in stack)
+            out = sure = tag in SKIP or (tag == "header" and not inside)
+            if names and not out and tag not in TEXTUAL:
+                out = beside(names, tag, inside)
+            if out:
+                flush()
+                hiders.append(n_out)
+                if sure and tag != "form":
+                    always.add(n_out)
+                elif READERS.search(f"{names.get('class', '')} {names.get('id', '')}"):
+                    readers.add(n_out)
+                n_out += 1
+            elif tag in ("article", "main", "h1"):
+                heads.update(hiders)
             stack.append((tag, out))
-            hidden += out
             links += tag == "a"
             if tag in CONTAINER:
                 kind = re.sub(r"\d+", "#", ".".join(sorted(names.get("class", "").lower().split())))
@@ -121,8 +181,18 @@ class Page:
                     self.declared.add(paths[-1])
                 elif tag != "body" and (CONTENT.search(names.get("class", "")) or CONTENT.search(names.get("id", ""))):
                     self.holders.add(paths[-1])
-        if not hidden:
-            flush()
+        flush()
+        self.blocks = shown(every, always, readers, heads)
+
+    @staticmethod
+    def end_open(stack: list, tags: set, limits: set, close) -> None:
+        """Ends the innermost open element of these tags, unless one of the limits is open inside it."""
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] in tags:
+                close(i)
+                return
+            if stack[i][0] in limits:
+                return
 
     def best(self) -> str:
         """The path of the smallest containers that hold nearly all of the text; "" where only the whole page does."""

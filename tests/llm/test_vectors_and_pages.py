@@ -207,3 +207,36 @@ def test_nested_and_split_articles_are_whole(spark):
     got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, URLS)).collect()}
     for i, text in enumerate(expected.values()):
         assert {got[10 * i + k] for k in range(3)} == {text.strip()}
+
+
+def main_text(*body):
+    p = html_main.Page(page(*body))
+    return p.text(p.best())
+
+
+@pytest.mark.parametrize("wrapper", ["class='content with-sidebar'", "id=wrapper class='no-sidebar'", "class='sidebar-right'", "id=nav", "role=banner"])
+def test_wrappers_with_words_of_layouts(wrapper):
+    assert main_text(f"<div {wrapper}><h1>Title</h1><p>" + prose(900, "body") + "</p></div><div class=sidebar>" + prose(100, "side") + "</div>") == "Title " + prose(900, "body").strip()
+
+
+def test_names_hide_only_what_is_beside_the_article():
+    parts = ["<section id='side-effects'>Effects</section>", "<section id=legal>Law</section>", "<h2 id='related-work'>Related</h2>", "<h2 id='legal-status'>Status</h2>", "<p class='alert'>Mind</p>", "<div class=notice>Note</div>"]
+    long = "<p>" + prose(900, "body") + "</p>"
+    words = "Effects Law Related Status Mind Note " + prose(900, "body").strip()
+    beside = "".join(f"<div class='{c}'><p>" + prose(200, "beside") + "</p></div>" for c in ("sidebar", "site-footer", "ad-slot-2", "nav-links", "comment-list", "share-buttons", "cookie-notice"))
+    assert main_text("<article>", *parts, long, "</article>", beside) == words
+    assert main_text("<div class=post>", *parts[2:5], long, "</div>", beside) == "Related Status Mind " + prose(900, "body").strip()
+    # comments longer than the article stay out, also in the article
+    comments = "<section id=comments><p>" + prose(5000, "reply") + "</p></section>"
+    assert main_text("<article>", long, comments, "</article>") == main_text("<article>", long, "</article>", comments) == prose(900, "body").strip()
+
+
+def test_open_elements_end():
+    assert main_text("<div class=x><p class=ad>Buy<p>" + prose(900, "body") + "<ul><li class=share>Share<li>One<li>Two</ul></div>") == prose(900, "body") + "One Two"
+    assert html_main.Page("<html><head><meta charset=utf-8><body><p>text").text("") == "text"
+
+
+def test_nothing_left_is_shown():
+    assert main_text("<form id=aspnet><div class=menu>Menu</div><p>" + prose(300, "body") + "</p></form>") == prose(300, "body").strip()
+    assert main_text("<div class=comments><p>" + prose(300, "body") + "</p></div>") == prose(300, "body").strip()
+    assert main_text("<nav>Home</nav><footer>Law</footer>") == ""
