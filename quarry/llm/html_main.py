@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,6 +34,10 @@ TOKEN = re.compile(
 )
 CLASS = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas"}
+#: The end tag of each, found by a plain search: what stands before it is no markup.
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I) for tag in RAW}
+#: Those that go on to the end of the page where the end tag is missing.
+TO_THE_END = {"script", "style", "textarea", "title", "iframe"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 SKIP = {"nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "label", "option"}
 CONTAINER = {"body", "main", "article", "section", "div", "td", "center"}
@@ -94,8 +99,10 @@ class Page:
         readers: set[int] = set()  # those named after comments
         always: set[int] = set()  # those that are left out by their tag alone
         stack: list[tuple[str, bool]] = []  # tag, whether it is left out
+        opened: Counter[str] = Counter()  # tags on the stack
         hiders: list[int] = []
         n_out = 0
+        missing: set[str] = set()  # raw elements whose end tag does not follow
         paths: list[str] = []  # container path down to here, one for each open container
         links = 0
         parts: list[str] = []
@@ -116,19 +123,17 @@ class Page:
                 flush()
             while len(stack) > depth:
                 tag, out = stack.pop()
+                opened[tag] -= 1
                 if out:
                     hiders.pop()
                 links -= tag == "a"
                 if tag in CONTAINER:
                     paths.pop()
 
-        raw = None
-        for m in TOKEN.finditer(source):
-            tag = m[2]
-            if raw:
-                if tag and m[1] and tag.lower() == raw:
-                    raw = None
-                continue
+        token, at, end = TOKEN.match, 0, len(source)
+        while at < end:
+            m = token(source, at)
+            at, tag = m.end(), m[2]
             if tag is None:
                 s = m[0]
                 if not s.startswith(("<!", "<?")):
@@ -140,6 +145,8 @@ class Page:
             if tag in BLOCK:
                 flush()
             if m[1]:
+                if not opened[tag]:
+                    continue
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
                         close(i)
@@ -147,18 +154,23 @@ class Page:
                 continue
             if tag in BLOCK and stack and stack[-1][0] == "head":
                 close(len(stack) - 1)
-            if tag in ENDS_P:
+            if tag in ENDS_P and opened["p"]:
                 self.end_open(stack, {"p"}, {"table", "button", "object"}, close)
-            if tag in ENDS:
+            if tag in ENDS and any(opened[x] for x in ENDS[tag][0]):
                 self.end_open(stack, *ENDS[tag], close)
             if tag in VOID:
                 continue
             if tag in RAW:
                 if not m[3].endswith("/"):
-                    raw = tag
+                    if tag not in missing and (over := RAW_END[tag].search(source, at)):
+                        at = over.end()
+                    elif tag in TO_THE_END:
+                        break
+                    else:
+                        missing.add(tag)
                 continue
             names = dict((k.lower(), v.strip("\"'")) for k, v in CLASS.findall(m[3])) if m[3] else {}
-            inside = any(t in ("article", "main") for t, _ in stack)
+            inside = opened["article"] + opened["main"] > 0
             out = sure = tag in SKIP or (tag == "header" and not inside)
             if names and not out and tag not in TEXTUAL:
                 out = beside(names, tag, inside)
@@ -173,6 +185,7 @@ class Page:
             elif tag in ("article", "main", "h1"):
                 heads.update(hiders)
             stack.append((tag, out))
+            opened[tag] += 1
             links += tag == "a"
             if tag in CONTAINER:
                 kind = re.sub(r"\d+", "#", ".".join(sorted(names.get("class", "").lower().split())))

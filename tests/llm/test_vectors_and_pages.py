@@ -240,3 +240,11 @@ def test_nothing_left_is_shown():
     assert main_text("<form id=aspnet><div class=menu>Menu</div><p>" + prose(300, "body") + "</p></form>") == prose(300, "body").strip()
     assert main_text("<div class=comments><p>" + prose(300, "body") + "</p></div>") == prose(300, "body").strip()
     assert main_text("<nav>Home</nav><footer>Law</footer>") == ""
+
+
+@pytest.mark.parametrize("script", ["for(i=0;i<n;i++){a(i)}", "var s=\"it's <b\";", "if(a<b)x('", "document.write('<article><p>no')", "x='</scripted>'"])
+def test_scripts_are_no_markup(script):
+    article = "<article><p>" + prose(300, "body") + "</p></article>"
+    assert main_text(f"<script>{script}</script>", article) == prose(300, "body").strip()
+    assert main_text("<article><p>One</p>", f"<SCRIPT type=a>{script}</Script ><style>a<b{{}}</style>", "<p>Two</p></article>", f"<script>{script}") == "One Two"
+    assert main_text(f"<canvas><script>{script}</script>", article) == prose(300, "body").strip()
