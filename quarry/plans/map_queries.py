@@ -40,6 +40,13 @@ def spawns_near_anchors(spark, sf):
     return m.near_anchors(s.where("spawn_id = 1"), s, 350, 70)
 
 
+@query("SELECT a.map_id, a.spawn_id, count(*) AS near FROM {spawns} a JOIN {spawns} b ON a.map_id = b.map_id AND abs(a.x - b.x) <= 350 AND abs(a.y - b.y) <= 70 GROUP BY ALL")
+def spawns_near_every_spawn(spark, sf):
+    """Spawns in the box round each spawn, since any of them can be the anchor."""
+    s = view(spark, sf, "spawns")
+    return m.near_anchors(s, s, 350, 70)
+
+
 @query(
     """SELECT s.map_id, s.spawn_id, arg_min(f.foothold_id, struct_pack(d := abs((f.x1 + f.x2) // 2 - s.x), i := f.foothold_id)) AS nearest, min(abs((f.x1 + f.x2) // 2 - s.x)) AS distance
     FROM {spawns} s JOIN {footholds} f ON s.map_id = f.map_id GROUP BY ALL"""

@@ -44,3 +44,15 @@ def test_entry_runs(spark):
     df = __spark_entry__.entry(spark)
     assert df.columns[0] == "image_id" and df.count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_every_spawn_is_an_anchor(spark):
+    from quarry.plans.views import view
+
+    spawns = view(spark, SF, "spawns").collect()
+    maps = {}
+    for s in spawns:
+        maps.setdefault(s.map_id, []).append(s)
+    expected = {(a.map_id, a.spawn_id): sum(abs(a.x - b.x) <= 350 and abs(a.y - b.y) <= 70 for b in maps[a.map_id]) for a in spawns}
+    got = catalog.QUERIES["spawns_near_every_spawn"](spark, SF).collect()
+    assert len(got) == len(spawns) and {(r.map_id, r.spawn_id): r.near for r in got} == expected
