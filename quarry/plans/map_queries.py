@@ -142,6 +142,17 @@ def tiled_positions(spark, sf):
     return b.select("image_id", "idx", F.explode(at).alias("place"))
 
 
+@query(
+    """WITH b AS (SELECT image_id, idx, x - 640 AS base, greatest(1, w) AS step, w FROM {boxes})
+    SELECT image_id, idx, (unnest(range((floor((-w - base) / step) + 1)::BIGINT, ceil((1280 - base) / step)::BIGINT)) * step + base)::INTEGER AS place FROM b"""
+)
+def tiled_positions_by_width(spark, sf):
+    """Where a background sprite without a step of its own is drawn: it repeats by its width."""
+    b = view(spark, sf, "boxes")
+    at = g.tile_range(F.col("x") - 640, F.greatest(F.lit(1), "w"), g.WIDTH, F.col("w"))
+    return b.select("image_id", "idx", F.explode(at).alias("place"))
+
+
 @query(
     """SELECT image_id, idx, x - CASE WHEN class_id = 1 THEN w - h ELSE h END - 100 AS left_, y - 5 - 50 AS top_ FROM {boxes}"""
 )
