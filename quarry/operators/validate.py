@@ -106,6 +106,18 @@ def yolo_grammar(lines: DataFrame, key: str, line: str, grammar: str, coordinate
     return row_rules(lines, F.col(key), [(grammar, ~known, F.col(line)), (coordinates, (F.size(f) == 5) & ~inside, F.col(line))])
 
 
+def line_differs(line: str, width: int = g.WIDTH, height: int = g.HEIGHT) -> Column:
+    """Whether a label line is not class_id and the box x, y, w, h as shares of the frame, to 1e-7; a null line is."""
+    f = F.split(F.trim(line), r"\s+")
+    own = [(F.col("x") + F.col("w") / 2) / width, (F.col("y") + F.col("h") / 2) / height, F.col("w") / width, F.col("h") / height]
+    got = [F.get(f, F.lit(n + 1)).try_cast("double") for n in range(4)]
+    near = [a.between(0, 1) & (F.abs(a - b) <= 1e-7) for a, b in zip(got, own, strict=True)]
+    same = (F.size(f) == 5) & F.col("class_id").isin(0, 1) & (F.get(f, F.lit(0)).try_cast("int") == F.col("class_id"))
+    for x in near:
+        same = same & x
+    return ~F.coalesce(same, F.lit(False))
+
+
 def below_minimum(counts: DataFrame, rule: str, key: Column, minimum: int) -> DataFrame:
     return violations(counts, rule, key, F.col("n") < minimum, F.col("n"))
 

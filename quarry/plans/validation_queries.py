@@ -205,3 +205,59 @@ def label_line_agreement(spark, sf):
     joined = own.join(lines, ["image_id", "line_no"])
     got = F.element_at(F.split("line", " "), 2).cast("double")
     return joined.select(F.concat_ws("/", F.col("image_id").cast("string"), F.col("idx").cast("string")).alias("key"), "line_no", (F.abs(F.col("cx") - got) <= 1e-7).alias("same"))
+
+
+def histogram_sql(rule: str, column: str) -> str:
+    return f"""SELECT '{rule}' AS rule_id, k AS key, coalesce(n, 0) || ' of ' || coalesce(m, 0) AS detail FROM (SELECT {column}::VARCHAR AS k, count(*) AS n FROM a GROUP BY 1) f
+      FULL JOIN (SELECT {column}::VARCHAR AS k, count(*) AS m FROM p GROUP BY 1) e USING (k) WHERE n IS DISTINCT FROM m"""
+
+
+HISTOGRAMS = {"VAL-B5": "monsters", "VAL-B6": "players", "VAL-B7": "loot", "VAL-B8": "layout", "VAL-B9": "loot_layout"}
+#: The scenarios of the review set of 100 images.
+REVIEW = {"player_pet_monster": 70, "player_monster": 15, "player_pet": 8, "monster": 5, "background": 2}
+
+
+@query(
+    f"""WITH {LINES}, p AS (SELECT image_id, layout, (image_id % 4)::INTEGER AS monsters, (image_id % 3)::INTEGER AS players, (image_id % 5)::INTEGER AS loot, CASE WHEN image_id % 2 = 0 THEN 'pile' ELSE 'none' END AS loot_layout FROM {{images}}),
+    b AS (SELECT image_id, count_if(class_id = 0) AS monsters, count_if(class_id = 1) AS players FROM {{boxes}} GROUP BY 1),
+    a AS (SELECT image_id, CASE WHEN image_id % 307 = 0 THEN 'overlap' ELSE layout END AS layout, coalesce(b.monsters, 0)::INTEGER AS monsters, coalesce(b.players, 0)::INTEGER AS players,
+      loot + CASE WHEN image_id % 409 = 0 THEN 1 ELSE 0 END AS loot, CASE WHEN image_id % 311 = 0 THEN 'line' ELSE loot_layout END AS loot_layout FROM p LEFT JOIN b USING (image_id)),
+    r AS (SELECT CASE WHEN item < 69 THEN 'player_pet_monster' WHEN item < 85 THEN 'player_monster' WHEN item < 93 THEN 'player_pet' WHEN item < 98 THEN 'monster' ELSE 'other' END AS k FROM (SELECT DISTINCT item FROM {{items}} WHERE item < 100) q),
+    w AS (SELECT unnest({list(REVIEW)}) AS k, unnest({list(REVIEW.values())}) AS m)
+    SELECT 'VAL-A5' AS rule_id, key, line AS detail FROM y WHERE line IN ('7 0.1 0.2 0.3 0.4', '0 0.1 0.2 0.3', '1 0.1 1.2 0.3 0.4') UNION ALL SELECT 'VAL-A6', key, line FROM y WHERE line = '0 0.1 x 0.3 0.4'
+    UNION ALL SELECT 'VAL-C8', split_part(key, '/', 1), min(line) FROM y WHERE line <> '0 0.1 0.2 0.3 0.4' GROUP BY ALL
+    UNION ALL {" UNION ALL ".join(histogram_sql(r, c) for r, c in HISTOGRAMS.items())}
+    UNION ALL SELECT 'VAL-B35', image_id || '/' || idx, '3' FROM {{boxes}} WHERE image_id % 59 = 0
+    UNION ALL SELECT 'VAL-D2', k, coalesce(n, 0) || ' of ' || coalesce(m, 0) FROM (SELECT k, count(*) AS n FROM r GROUP BY 1) f FULL JOIN w USING (k) WHERE n IS DISTINCT FROM m
+    UNION ALL SELECT 'VAL-D6', image_id || '/' || idx, 'mismatch' FROM {{boxes}} WHERE image_id % 37 = 0 OR image_id % 83 = 0"""
+)
+def validate_plan_counts(spark, sf):
+    """Rules on lines of one class, histograms of the plan, hidden boxes, the review set and lines against boxes."""
+    i, item = F.col("image_id"), F.col("item")
+    boxes = view(spark, sf, "boxes")
+    plan = view(spark, sf, "images").select("image_id", "layout", (i % 4).cast("int").alias("monsters"), (i % 3).cast("int").alias("players"), (i % 5).cast("int").alias("loot"), F.when(i % 2 == 0, "pile").otherwise("none").alias("loot_layout"))
+    labelled = boxes.groupBy("image_id").agg(F.count_if(F.col("class_id") == 0).cast("int").alias("monsters"), F.count_if(F.col("class_id") == 1).cast("int").alias("players"))
+    actual = plan.drop("monsters", "players").join(labelled, "image_id", "left").fillna(0, ["monsters", "players"])
+    actual = actual.withColumns({"layout": F.when(i % 307 == 0, "overlap").otherwise(F.col("layout")), "loot": F.col("loot") + F.when(i % 409 == 0, 1).otherwise(0), "loot_layout": F.when(i % 311 == 0, "line").otherwise(F.col("loot_layout"))})
+    line = F.when(i % 61 == 0, "7 0.1 0.2 0.3 0.4").when(i % 67 == 0, "0 0.1 0.2 0.3").when(i % 71 == 0, "1 0.1 1.2 0.3 0.4").when(i % 73 == 0, "0 0.1 x 0.3 0.4").otherwise("0 0.1 0.2 0.3 0.4")
+    key = F.concat_ws("/", i.cast("string"), F.col("idx").cast("string"))
+    rows = boxes.select(key.alias("key"), line.alias("line"))
+    part = F.split("key", "/")
+    bad = v.yolo_grammar(rows, "key", "line", "VAL-C8", "VAL-C8", 2).select("rule_id", part[0].alias("key"), "detail", part[1].cast("int").alias("place"))
+    hidden = boxes.select(key.alias("key"), F.when(i % 59 == 0, F.array("x", "y", "w")).otherwise(F.array("x", "y", "w", "h")).alias("bbox"))
+    scenario = F.when(item < 69, "player_pet_monster").when(item < 85, "player_monster").when(item < 93, "player_pet").when(item < 98, "monster").otherwise("other")
+    review = view(spark, sf, "items").where("item < 100").select("item").distinct().select(scenario.alias("scenario"))
+    agreed = spark.createDataFrame([(k,) for k, n in REVIEW.items() for _ in range(n)], "scenario string")
+    moved = boxes.withColumns({"x": F.col("x") + F.when(i % 37 == 0, 1).otherwise(0), "h": F.col("h") + F.when(i % 83 == 0, 1).otherwise(0)})
+    lines = labels.yolo_bodies(moved).select("image_id", F.posexplode(F.split("body", "\n")).alias("line_no", "line"))
+    both = boxes.withColumn("line_no", F.col("idx") - 1).join(lines, ["image_id", "line_no"], "left")
+    return c.union_all(
+        [
+            v.first_bad(v.yolo_grammar(rows, "key", "line", "VAL-A5", "VAL-A6", 1), "key", "rule_id"),
+            v.first_bad(bad, "key", "place").drop("place"),
+            *[v.histogram(actual, plan, rule, column) for rule, column in HISTOGRAMS.items()],
+            v.violations(hidden, "VAL-B35", F.col("key"), F.size("bbox") != 4, F.size("bbox")),
+            v.histogram(review, agreed, "VAL-D2", "scenario"),
+            v.violations(both, "VAL-D6", key, v.line_differs("line"), "mismatch"),
+        ]
+    )

@@ -70,3 +70,8 @@ def test_tiles_repeat_by_their_width(spark):
         expected |= {(b.image_id, b.idx, base + i * step) for i in range(math.floor((-b.w - base) / step) + 1, math.ceil((1280 - base) / step))}
     got = [(r.image_id, r.idx, r.place) for r in catalog.QUERIES["tiled_positions_by_width"](spark, SF).collect()]
     assert len(got) == len(expected) and set(got) == expected
+
+
+def test_all_surveyed_rules_of_counts_and_lines_report(spark):
+    got = {r.rule_id for r in catalog.QUERIES["validate_plan_counts"](spark, SF).select("rule_id").distinct().collect()}
+    assert got == {f"VAL-{r}" for r in ("A5", "A6", "B5", "B6", "B7", "B8", "B9", "B35", "C8", "D2", "D6")}
