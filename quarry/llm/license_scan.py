@@ -4,7 +4,8 @@ Every text is cut into words; the hash of each k consecutive words (k-gram) is j
 of the license templates, a fixed table of a few hundred rows given as a parameter. A match at word i of the text and word j of a
 template votes for the offset diagonal i - j. Votes are summed per diagonal, diagonals at most GAP
 apart merge into one span (insertions and deletions shift a copy by a few words), and a span is verified by the share
-of the template's k-grams that it holds. Phrases are templates that must be held without a gap: each of their pairs of words on one diagonal.
+of the template's k-grams that it holds. Where no span of a template holds enough alone, spans that follow each other in
+the text and in the template count together, whatever stands between them. Phrases are templates that must be held without a gap: each of their pairs of words on one diagonal.
 
 Hashes are built by doubling (pairs, then pairs of pairs), so a text costs three passes over its words and
 no k-long slice is ever made. Texts are read once; hashes that are in no template are dropped before
@@ -60,6 +61,18 @@ def grams(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("_h4", _pairs(F.col("_h2"), 2)).drop("_h1")
 
 
+def _chained(spans: str):
+    """The most votes of spans (a, z, i, j, votes; ascending) that follow each other from a to z in the template and from i to j in the text."""
+    none = F.array().cast("array<struct<z:int,j:int,votes:bigint>>")
+
+    def add(done, s):
+        before = F.transform(F.filter(done, lambda c: (c["z"] < s["a"]) & (c["j"] < s["i"])), lambda c: c["votes"])
+        votes = s["votes"] + F.coalesce(F.array_max(before), F.lit(0).cast("long"))
+        return F.concat(done, F.array(F.struct(s["z"].alias("z"), s["j"].alias("j"), votes.alias("votes"))))
+
+    return F.array_max(F.transform(F.aggregate(F.col(spans), none, add), lambda c: c["votes"]))
+
+
 def template_grams(spark, phrases: dict[str, str], templates: dict[str, str]) -> DataFrame:
     """(h, k, name, at, n): the k-grams of all templates; texts under K words count by their pairs."""
     rows = [(t, n, True) for t, n in phrases.items()] + [(t, n, False) for n, t in templates.items()]
@@ -88,7 +101,7 @@ def scan(df: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str,
     votes = hits.join(F.broadcast(table), ["k", "h"]).withColumn("diagonal", F.col("i") - F.col("at"))
     # a repeated row votes twice for the same place: places are distinct
     place = ["id", "th", "name", "phrase", "n", "diagonal"]
-    diagonals = votes.groupBy(*place).agg(F.count_distinct("at").alias("votes"))
+    diagonals = votes.groupBy(*place).agg(F.count_distinct("at").alias("votes"), F.min("at").alias("a"), F.max("at").alias("z"))
     base = (
         diagonals.where("phrase and votes = n")
         .groupBy("id", "th")
@@ -100,7 +113,10 @@ def scan(df: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str,
         .withColumn("new", (F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by), F.lit(GAP + 1)) > GAP).cast("int"))
         .withColumn("span", F.sum("new").over(by))
         .groupBy("id", "th", "name", "n", "span")
-        .agg(F.sum("votes").alias("votes"))
+        .agg(F.sum("votes").alias("votes"), F.min("a").alias("a"), F.max("z").alias("z"), F.min(F.col("a") + F.col("diagonal")).alias("i"), F.max(F.col("z") + F.col("diagonal")).alias("j"))
+        .groupBy("id", "th", "name", "n")
+        .agg(F.max("votes").alias("most"), F.sum("votes").alias("all"), F.sort_array(F.collect_list(F.struct("a", "z", "i", "j", "votes"))).alias("spans"))
+        .withColumn("votes", F.when((F.col("most") < SHARE * F.col("n")) & (F.col("all") >= SHARE * F.col("n")), _chained("spans")).otherwise(F.col("most")))
         .withColumn("share", F.least(F.lit(1.0), F.col("votes") / F.col("n")))
         .where(F.col("share") >= SHARE)
         .groupBy("id", "th")

@@ -172,6 +172,19 @@ def test_licenses(spark, docs, empty):
     assert license_scan.scan(empty).collect() == []
 
 
+def test_licenses_with_insertions(spark):
+    """Words inserted into a notice split its span; halves in the wrong order are no notice."""
+    cases, want = [], []
+    for name in ("mit-text", "gpl-notice"):
+        w = license_scan.TEMPLATES[name].split()
+        half, third = len(w) // 2, len(w) // 3
+        put = "these six words were put in".split()
+        cases += [w[:half] + put + w[half:], w[:third] + put + w[third : 2 * third] + put * 30 + w[2 * third :], w[:half] + w[half + 5 :], w[half:] + put + w[:half], w[:half] + put]
+        want += [name, name, name, "", ""]
+    got = license_scan.scan(documents(spark, [(i, " ".join(c), *[None] * 8) for i, c in enumerate(cases)])).collect()
+    assert [(r.labels if r.n_base == 0 else ",".join(sorted(set(r.labels.split(",")) - {"gpl"}))) for r in sorted(got, key=lambda r: r.doc_id)] == want
+
+
 def test_license_plan_has_no_python(docs):
     plan = license_scan.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
