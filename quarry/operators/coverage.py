@@ -41,11 +41,13 @@ def nearest_rank(values: Column, q: float) -> Column:
 
 
 def percentile_rank(df: DataFrame, group: list[str], value: str, qs: list[float]) -> DataFrame:
-    """Nearest-rank percentiles without collecting a group: the rows at the wanted ranks of a window."""
+    """Nearest-rank percentiles from the group's histogram: values are counted first, so a window holds one row for each distinct value."""
+    counts = df.groupBy(*group, value).agg(F.count("*").alias("_n"))
     by = Window.partitionBy(*group)
-    ranked = df.withColumns({"rk": F.row_number().over(by.orderBy(value)) - 1, "cnt": F.count("*").over(by)})
-    picks = [F.max(F.when(F.col("rk") == F.bround((F.col("cnt") - 1) * F.lit(q)).cast("int"), F.col(value))).alias(f"p{round(q * 100)}") for q in qs]
-    return ranked.groupBy(*group).agg(*picks)
+    upto = counts.withColumns({"_upto": F.sum("_n").over(by.orderBy(value)), "_all": F.sum("_n").over(by)})
+    rank = lambda q: F.bround((F.col("_all") - 1) * F.lit(q)).cast("long")
+    picks = [F.min(F.when(F.col("_upto") > rank(q), F.col(value))).alias(f"p{round(q * 100)}") for q in qs]
+    return upto.groupBy(*group).agg(*picks)
 
 
 def merged(df: DataFrame, key: str, order: str, scalars: list[str], sets: list[str]) -> DataFrame:

@@ -15,11 +15,18 @@ def ground(spawns: DataFrame, footholds: DataFrame) -> DataFrame:
     return joined.select("map_id", "spawn_id", F.coalesce(g.platform_y(F.col("x")), F.col("y")).alias("ground_y"), F.coalesce("hit", F.lit(False)).alias("matched"))
 
 
+def cells(x, reach: int):
+    """The cells, each reach wide, that a point within reach of x can lie in: an equi-join key that cuts a map's spawns into strips."""
+    at = F.floor(x / reach)
+    return F.array(at - 1, at, at + 1)
+
+
 def with_neighbours(spawns: DataFrame, reach_x: int, reach_y: int) -> DataFrame:
     """(map_id, mob_id) with another spawn on another foothold within reach: a semi-join inside the map."""
-    a, b = spawns.alias("a"), spawns.select("map_id", "fh", "x", "y").alias("b")
+    a = spawns.withColumn("cell", F.floor(F.col("x") / reach_x)).alias("a")
+    b = spawns.select("map_id", "fh", "x", "y", F.explode(cells(F.col("x"), reach_x)).alias("cell")).alias("b")
     near = (
-        (F.col("a.map_id") == F.col("b.map_id")) & (F.col("a.fh") != F.col("b.fh"))
+        (F.col("a.map_id") == F.col("b.map_id")) & (F.col("a.cell") == F.col("b.cell")) & (F.col("a.fh") != F.col("b.fh"))
         & (F.abs(F.col("a.x") - F.col("b.x")) <= reach_x) & (F.abs(F.col("a.y") - F.col("b.y")) <= reach_y)
     )
     return a.join(b, near, "left_semi").select("map_id", "mob_id").distinct()
@@ -27,8 +34,9 @@ def with_neighbours(spawns: DataFrame, reach_x: int, reach_y: int) -> DataFrame:
 
 def near_anchors(anchors: DataFrame, spawns: DataFrame, reach_x: int, reach_y: int) -> DataFrame:
     """Number of spawns in a box round each anchor."""
-    a, b = anchors.alias("a"), spawns.alias("b")
-    near = (F.col("a.map_id") == F.col("b.map_id")) & (F.abs(F.col("a.x") - F.col("b.x")) <= reach_x) & (F.abs(F.col("a.y") - F.col("b.y")) <= reach_y)
+    a = anchors.select("map_id", "spawn_id", "x", "y", F.explode(cells(F.col("x"), reach_x)).alias("cell")).alias("a")
+    b = spawns.select("map_id", "x", "y", F.floor(F.col("x") / reach_x).alias("cell")).alias("b")
+    near = (F.col("a.map_id") == F.col("b.map_id")) & (F.col("a.cell") == F.col("b.cell")) & (F.abs(F.col("a.x") - F.col("b.x")) <= reach_x) & (F.abs(F.col("a.y") - F.col("b.y")) <= reach_y)
     return a.join(b, near).groupBy(F.col("a.map_id").alias("map_id"), F.col("a.spawn_id").alias("spawn_id")).agg(F.count("*").alias("near"))
 
 

@@ -13,6 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .jpeg import jpeg
 
 #: Drawing order of figure parts; others stand at 30.
 PART_ORDER = {
@@ -129,6 +132,72 @@ def compose(parts: list[dict], required: set[str] = frozenset()) -> dict | None:
     return {"path": "composite", "image": canvas, "origin": (-left, -top)}
 
 
+#: Least height and largest side of a whole figure, and the widest gap between its rows.
+FIGURE_ROWS, FIGURE_SIDE, FIGURE_GAP = 35, 180, 3
+
+
+def whole_figure(parts: list[dict], mandatory: dict[str, tuple[str, ...]]) -> dict | None:
+    """compose() of parts that make a whole figure, else None: every mandatory part is there under one of its names and all parts are
+    attached; the figure has a person's size and no gap of rows. mandatory: part -> the last path segments that count as it."""
+    names = {p["path"].rsplit("/", 1)[-1] for p in parts}
+    if not all(names & set(of) for of in mandatory.values()):
+        return None
+    out = compose(parts, {p["path"] for p in parts})
+    if out is None or max(out["image"].shape[:2]) > FIGURE_SIDE:
+        return None
+    rows = np.flatnonzero(out["image"][..., 3].any(axis=1))
+    return None if len(rows) < FIGURE_ROWS or (np.diff(rows) > FIGURE_GAP).any() else out
+
+
+def figures(parts: DataFrame, mandatory: dict[str, tuple[str, ...]]) -> DataFrame:
+    """(figure, digest, width, height, complete) of groups of parts (figure, path, z, height, width, pixels, origin_x, origin_y,
+    anchors map<string, struct<x:int,y:int>>). A figure is a few parts, so each is one group."""
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("path")
+        held = [
+            {"path": r.path, "z": r.z, "image": np.frombuffer(r.pixels, np.uint8).reshape(r.height, r.width, 4), "origin": (r.origin_x, r.origin_y), "anchors": {k: (v["x"], v["y"]) for k, v in dict(r.anchors).items()}}
+            for r in pdf.itertuples()
+        ]
+        made = whole_figure(held, mandatory)
+        row = (pdf["figure"].iloc[0], *(digest(made["image"])[:3] if made else (None, 0, 0)), made is not None)
+        return pd.DataFrame([row], columns=["figure", "digest", "width", "height", "complete"])
+
+    kind = parts.schema["figure"].dataType.simpleString()
+    return parts.groupBy("figure").applyInPandas(one, f"figure {kind}, digest string, width int, height int, complete boolean")
+
+
+#: Digits of five rows of three pixels, a bit each, the top row first.
+DIGITS = {"0": 0b111101101101111, "1": 0b010110010010111, "2": 0b111001111100111, "3": 0b111001111001111, "4": 0b101101111001001, "5": 0b111100111001111, "6": 0b111100111101111, "7": 0b111001010010010, "8": 0b111101111101111, "9": 0b111101111001111}
+
+
+def number_sprite(text: str, scale: int = 3, colour: tuple[int, int, int] = (255, 188, 32), edge: tuple[int, int, int] = (40, 20, 20)) -> np.ndarray:
+    """A number as a sprite: digits of three by five cells with an edge round them."""
+    cells = np.zeros((5, 4 * len(text) - 1), bool)
+    for i, c in enumerate(text):
+        cells[:, 4 * i : 4 * i + 3] = (DIGITS[c] >> np.arange(14, -1, -1)).reshape(5, 3) & 1
+    inside = np.pad(np.kron(cells, np.ones((scale, scale), bool)), 2)
+    wide = np.zeros_like(inside)
+    for dy in range(-2, 3):
+        for dx in range(-2, 3):
+            wide |= np.roll(inside, (dy, dx), (0, 1))
+    out = np.zeros((*inside.shape, 4), np.uint8)
+    out[wide] = (*edge, 255)
+    out[inside] = (*colour, 255)
+    return out
+
+
+def sheet(images: list[np.ndarray], columns: int, cell: tuple[int, int]) -> np.ndarray:
+    """A contact sheet: images row by row in cells (width, height), each in the middle of its cell, cut where it is larger."""
+    rows = -(-len(images) // columns)
+    out = np.full((max(1, rows) * cell[1], columns * cell[0], 4), 255, np.uint8)
+    for i, image in enumerate(images):
+        left, top = i % columns * cell[0], i // columns * cell[1]
+        part = out[top : top + cell[1], left : left + cell[0]]
+        paste(part, image, (cell[0] - image.shape[1]) // 2, (cell[1] - image.shape[0]) // 2)
+    return out
+
+
 def lit(image: np.ndarray, factor: float) -> np.ndarray:
     """Brightness by a factor; alpha stays."""
     out = image.copy()
@@ -204,40 +273,75 @@ def digest_frames(frames: DataFrame) -> DataFrame:
     return frames.select("path", "height", "width", "pixels").mapInPandas(run, "path string, digest string, width int, height int, alpha_pixels long, saturated double, phash string")
 
 
-def render_scenes(scenes: DataFrame, sprites: DataFrame, width: int, height: int, least_clip: float = 0.3, least_visible: float = 0.3) -> DataFrame:
-    """Scenes of placed sprites to labels and a PNG.
+#: What is drawn after what. Only targets and hidden objects give rows; npcs, tiles and objects are drawn and stay unlabelled.
+DRAWN = ("back", "tile", "object", "npc", "target", "hidden", "front")
+
+
+def _tiled(image: np.ndarray, x: int, y: int, step_x: int, step_y: int, width: int, height: int) -> Iterator[tuple[int, int]]:
+    """Where a sprite is drawn that repeats by a step, 0 for an axis on which it does not."""
+    axis = lambda at, step, size, extent: range(at - -(-(at + size) // step) * step + step, extent, step) if step else [at]
+    for py in axis(y, step_y, image.shape[0], height):
+        for px in axis(x, step_x, image.shape[1], width):
+            yield px, py
 
-    scenes: (scene, layer, kind, path, x, y, flip); kind is back, target or front. Rows meet their pixels by a join, then a
-    scene is one group: targets are drawn in order, and what stands in front covers them. One row per scene:
-    (scene, image, labels) with clip, visible and covered shares rounded to four places."""
+
+def render_scenes(scenes: DataFrame, sprites: DataFrame, width: int, height: int, least_clip: float = 0.3, least_visible: float = 0.3, quality: int | None = 92) -> DataFrame:
+    """Scenes of placed sprites to an image, its labels and its hidden objects.
+
+    scenes: (scene, layer, kind, path, x, y, flip), optionally with alpha (0 to 255), step_x and step_y; kind is one of DRAWN. Rows meet
+    their pixels by a join, then a scene is one group: kinds are drawn in the order of DRAWN and by layer inside a kind, over a sky. What stands
+    in front, and hidden objects drawn later, cover. One row per scene: (scene, image, labels, hidden): a JPEG of a quality, or
+    a PNG where it is None, with clip, visible and covered shares rounded to four places; hidden objects also have their largest
+    overlap with a target."""
+    for name, value in (("alpha", 255), ("step_x", 0), ("step_y", 0)):
+        scenes = scenes if name in scenes.columns else scenes.withColumn(name, F.lit(value))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["layer", "path", "x", "y"])
+        pdf = pdf.assign(turn=pdf["kind"].map(DRAWN.index)).sort_values(["turn", "layer", "path", "x", "y"])
         canvas = np.zeros((height, width, 4), np.uint8)
         canvas[...] = (*SKY, 255)
-        drawn = list(zip(pdf["kind"], _images(pdf), pdf["x"], pdf["y"], pdf["flip"], strict=True))
-        front = np.zeros((height, width), np.uint8)
-        for kind, (_, image), x, y, flip in drawn:
-            if kind == "front":
+        drawn = []
+        for (path, image), r in zip(_images(pdf), pdf.itertuples(), strict=True):
+            if r.alpha < 255:
+                image = image.copy()
+                image[..., 3] = image[..., 3].astype(int) * r.alpha // 255
+            drawn.append((r.kind, path, image[:, ::-1] if r.flip else image, r.x, r.y, r.step_x, r.step_y))
+        cover = np.zeros((height, width), np.uint8)  # alpha of all that is drawn later
+        found: dict[int, tuple[float, float, float]] = {}
+        for i in range(len(drawn) - 1, -1, -1):
+            kind, _, image, x, y, step_x, step_y = drawn[i]
+            if kind in ("target", "hidden"):
+                found[i] = visibility(image[..., 3], x, y, cover)
+            if kind in ("hidden", "front"):
                 layer = np.zeros((height, width, 4), np.uint8)
-                paste(layer, image, x, y, flip)
-                front = np.maximum(front, layer[..., 3])
-        labels = []
-        for want in ("back", "target", "front"):
-            for kind, (path, image), x, y, flip in drawn:
-                if kind != want:
-                    continue
-                paste(canvas, image, x, y, flip)
-                image = image[:, ::-1] if flip else image
-                box = alpha_box(image)
-                if kind != "target" or box is None:
-                    continue
-                left, top, right, bottom = max(0, x + box[0]), max(0, y + box[1]), min(width, x + box[2]), min(height, y + box[3])
-                clip, visible, covered = visibility(image[..., 3], x, y, front)
-                if right - left >= 4 and bottom - top >= 4 and clip >= least_clip and visible >= least_visible:
-                    labels.append({"path": path, "x": left, "y": top, "w": right - left, "h": bottom - top, "clip_fraction": round(clip, 4), "visible_fraction": round(visible, 4), "occlusion_fraction": round(covered, 4)})
-        return pd.DataFrame({"scene": [pdf["scene"].iloc[0]], "image": [png(canvas)], "labels": [labels]})
-
-    label = "struct<path:string,x:int,y:int,w:int,h:int,clip_fraction:double,visible_fraction:double,occlusion_fraction:double>"
+                for px, py in _tiled(image, x, y, step_x, step_y, width, height):
+                    paste(layer, image, px, py)
+                cover = np.maximum(cover, layer[..., 3])
+        labels, hidden = [], []
+        for i, (kind, path, image, x, y, step_x, step_y) in enumerate(drawn):
+            for px, py in _tiled(image, x, y, step_x, step_y, width, height):
+                paste(canvas, image, px, py)
+            box = alpha_box(image)
+            if i not in found or box is None:
+                continue
+            left, top, right, bottom = max(0, x + box[0]), max(0, y + box[1]), min(width, x + box[2]), min(height, y + box[3])
+            clip, visible, covered = found[i]
+            row = {"path": path, "x": left, "y": top, "w": right - left, "h": bottom - top, "clip_fraction": round(clip, 4), "visible_fraction": round(visible, 4), "occlusion_fraction": round(covered, 4)}
+            if kind == "target" and right - left >= 4 and bottom - top >= 4 and clip >= least_clip and visible >= least_visible:
+                labels.append(row)
+            elif kind == "hidden" and right > left and bottom > top:
+                hidden.append(row | {"max_target_iou": round(max([0.0, *(_overlap(row, t) for t in labels)]), 4)})
+        image = png(canvas) if quality is None else jpeg(canvas, quality)
+        return pd.DataFrame({"scene": [pdf["scene"].iloc[0]], "image": [image], "labels": [labels], "hidden": [hidden]})
+
+    label = "path:string,x:int,y:int,w:int,h:int,clip_fraction:double,visible_fraction:double,occlusion_fraction:double"
     joined = scenes.join(sprites.select("path", "height", "width", "pixels"), "path")
-    return joined.groupBy("scene").applyInPandas(one, f"scene {scenes.schema['scene'].dataType.simpleString()}, image binary, labels array<{label}>")
+    kind = scenes.schema["scene"].dataType.simpleString()
+    return joined.groupBy("scene").applyInPandas(one, f"scene {kind}, image binary, labels array<struct<{label}>>, hidden array<struct<{label},max_target_iou:double>>")
+
+
+def _overlap(a: dict, b: dict) -> float:
+    wide = max(0, min(a["x"] + a["w"], b["x"] + b["w"]) - max(a["x"], b["x"]))
+    both = wide * max(0, min(a["y"] + a["h"], b["y"] + b["h"]) - max(a["y"], b["y"]))
+    union = a["w"] * a["h"] + b["w"] * b["h"] - both
+    return both / union if union else 0.0

@@ -16,12 +16,21 @@ from quarry.functions import geometry as g
 
 #: Distance between neighbours as a share of the sprite's width, by mode.
 SPACING = {"natural": 0.65, "distributed": 0.65, "clustered": 0.65, "multi_platform": 0.65, "overlap": 0.18}
-LOOT_STEP = {"scattered": 40, "small_piles": 12, "multi_pile": 10, "dense_stack": 5}
+LOOT_SPREAD, OTHER_SPREAD = {"scattered": 120, "small_piles": 24, "multi_pile": 18, "dense_stack": 10}, 90
 PLACED = "sample long, slot int, x int, y int, foothold_id int"
 
 
-def sample_seed(seed: int, ordinal: Column) -> Column:
-    return F.lit(seed) * F.lit(1_000_003) + ordinal
+def sample_seed(seed: int, ordinal: Column, form: str = "scattered", mob: Column | None = None) -> Column:
+    """A sample's own seed, as a number of the plan it belongs to: "scattered" and its second tries "again" multiply the seed,
+    "whole" and "patch" shift it (64 bits, so seeds under 2 ** 31 and 2 ** 23)."""
+    if form in ("scattered", "again"):
+        return F.lit(seed * (1_000_003 if form == "scattered" else 2_000_003)) + ordinal
+    own = ordinal.cast("long")
+    if form == "whole":
+        return F.lit(seed << 32).cast("long").bitwiseXOR(own)
+    if form == "patch" and mob is not None:
+        return F.lit(seed << 40).cast("long").bitwiseXOR(own).bitwiseXOR(mob.cast("long"))
+    raise ValueError(f"no such form of seed: {form}")
 
 
 def place_actors(samples: DataFrame, footholds: DataFrame, view: int = g.WIDTH) -> DataFrame:
@@ -59,30 +68,79 @@ def place_actors(samples: DataFrame, footholds: DataFrame, view: int = g.WIDTH)
     return joined.groupBy("sample").applyInPandas(one, PLACED)
 
 
-def place_loot(samples: DataFrame, ground: DataFrame) -> DataFrame:
-    """(sample, slot, x, y): n objects of each sample (sample, map_id, seed, layout, n) at distinct points round the map's
-    ground points; the layout says how close."""
+def place_loot(samples: DataFrame, ground: DataFrame, footholds: DataFrame) -> DataFrame:
+    """(sample, slot, x, y, foothold_id): n objects of each sample (sample, map_id, seed, layout, n), no two at one point.
+
+    Each pile has a ground point (map_id, x, y, foothold_id) as its heart; objects go to the piles in turn, at most the layout's spread
+    away from the heart, on the heart's platform: not past its ends, at its height. Where a platform has no room
+    left the spread grows by one a try and other ground points are taken; a map without room gives fewer rows."""
+    lines = footholds.where("x1 <> x2").select("map_id", F.col("foothold_id").alias("f"), "x1", "y1", "x2", "y2")
+    points = ground.join(lines, (ground.map_id == lines.map_id) & (ground.foothold_id == lines.f), "left").drop(lines.map_id)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         s = pdf.iloc[0]
+        n, layout = int(s["n"]), s["layout"]
         rng = np.random.default_rng(int(s["seed"]) & (2**63 - 1))
-        points = pdf[["x", "y"]].sort_values(["x", "y"]).to_numpy()
-        piles = {"dense_stack": 1, "small_piles": max(1, int(s["n"]) // 3), "multi_pile": 3}.get(s["layout"], int(s["n"]))
-        heart = points[rng.integers(0, len(points), piles)]
-        step = LOOT_STEP.get(s["layout"], 40)
-        seen: set[tuple[int, int]] = set()
-        spread = 1
-        while len(seen) < s["n"]:  # the circle grows until there is room
-            for i in range(50):
-                x, y = heart[(len(seen) + i) % piles]
-                seen.add((int(x + rng.integers(-step * spread, step * spread + 1)), int(y)))
-                if len(seen) == s["n"]:
+        spots = pdf.sort_values(["x", "y", "foothold_id"])[["x", "y", "foothold_id", "x1", "y1", "x2", "y2"]].to_numpy(float)
+        piles = {"dense_stack": 1, "small_piles": max(1, round(n / int(rng.integers(2, 6)))), "multi_pile": min(max(2, round(n / 4)), 4)}.get(layout, n)
+        hearts, spread = rng.integers(0, len(spots), piles), LOOT_SPREAD.get(layout, OTHER_SPREAD)
+        seen: dict[tuple[int, int], int] = {}
+        for i in range(n):
+            heart = int(hearts[i % piles])
+            for attempt in range(50):
+                if attempt and attempt % 5 == 0:
+                    heart = int(rng.integers(0, len(spots)))
+                x, y, foothold, x1, y1, x2, y2 = spots[heart]
+                if not np.isnan(x1):
+                    reach = spread + attempt
+                    x = min(max(x + int(rng.integers(-reach, reach + 1)), min(x1, x2)), max(x1, x2))
+                    y = np.rint(y1 + (y2 - y1) * (x - x1) / (x2 - x1))
+                if (int(x), int(y)) not in seen:
+                    seen[int(x), int(y)] = int(foothold)
                     break
-            spread += 1
-        rows = [(int(s["sample"]), i, x, y) for i, (x, y) in enumerate(sorted(seen))]
-        return pd.DataFrame(rows, columns=["sample", "slot", "x", "y"])
+        rows = [(int(s["sample"]), i, x, y, f) for i, ((x, y), f) in enumerate(seen.items())]
+        return pd.DataFrame(rows, columns=["sample", "slot", "x", "y", "foothold_id"])
+
+    return samples.where("n > 0").join(points, "map_id").groupBy("sample").applyInPandas(one, PLACED)
+
 
-    return samples.where("n > 0").join(ground, "map_id").groupBy("sample").applyInPandas(one, "sample long, slot int, x int, y int")
+def death_overlays(samples: DataFrame, spawns: DataFrame, frames: DataFrame, uses: DataFrame, footholds: DataFrame) -> DataFrame:
+    """(sample, slot, mob_id, path, x, y): n frames of death of each sample (sample, map_id, seed, n), each time one of the least used.
+
+    Candidates are the map's monsters (map_id, mob_id, fh, x, y) with their frames (mob_id, path); uses (mob_id, path, n) is what came
+    before the sample, and its own picks are added. A monster dies anywhere on its platform, else where it stands."""
+    lines = footholds.where("x1 <> x2").select("map_id", F.col("foothold_id").alias("fh"), "x1", "y1", "x2", "y2")
+    c = spawns.join(frames, "mob_id").join(uses.withColumnRenamed("n", "used"), ["mob_id", "path"], "left").join(lines, ["map_id", "fh"], "left")
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["mob_id", "path", "x", "y"])
+        rng = np.random.default_rng(int(pdf["seed"].iloc[0]) & (2**63 - 1))
+        kind = pdf.groupby(["mob_id", "path"]).ngroup().to_numpy()
+        count = pdf["used"].fillna(0).to_numpy(np.int64)
+        rows = []
+        for slot in range(int(pdf["n"].iloc[0])):
+            pool = np.flatnonzero(count == count.min())
+            r = pdf.iloc[int(pool[rng.integers(len(pool))])]
+            count[kind == kind[pdf.index.get_loc(r.name)]] += 1
+            x, y = int(r["x"]), int(r["y"])
+            if not np.isnan(r["x1"]):
+                x = int(rng.integers(min(r["x1"], r["x2"]), max(r["x1"], r["x2"]) + 1))
+                y = int(np.rint(r["y1"] + (r["y2"] - r["y1"]) * (x - r["x1"]) / (r["x2"] - r["x1"])))
+            rows.append((int(r["sample"]), slot, int(r["mob_id"]), r["path"], x, y))
+        return pd.DataFrame(rows, columns=["sample", "slot", "mob_id", "path", "x", "y"])
+
+    joined = samples.where("n > 0").join(c, "map_id")
+    return joined.groupBy("sample").applyInPandas(lambda pdf: one(pdf.reset_index(drop=True)), "sample long, slot int, mob_id int, path string, x int, y int")
+
+
+def best_point(points: DataFrame, actors: DataFrame, enough: int = 200) -> DataFrame:
+    """(sample, x, y): of each sample's points the one whose nearest actor is farthest away, ties to the smaller point; a point
+    without any actor counts as enough away."""
+    a = actors.select("sample", F.col("x").alias("ax"), F.col("y").alias("ay"))
+    gap = F.min(F.abs(F.col("x") - F.col("ax")) + F.abs(F.col("y") - F.col("ay")))
+    far = points.join(a, "sample", "left").groupBy("sample", "x", "y").agg(F.coalesce(gap, F.lit(enough)).alias("gap"))
+    best = far.groupBy("sample").agg(F.min(F.struct(-F.col("gap"), "x", "y")).alias("b"))
+    return best.select("sample", "b.x", "b.y")
 
 
 def placement_mode(layout: Column, scene: Column, n: Column, multi: Column) -> Column:

@@ -38,23 +38,49 @@ def expanded(quotas: DataFrame, key: str = "key", quota: str = "quota") -> DataF
     return quotas.where(F.col(quota) > 0).select(key, F.explode(F.sequence(F.lit(0), F.col(quota).cast("int") - 1)).alias("unit"))
 
 
-def assigned(rows: DataFrame, quotas: DataFrame, order: Column, key: str = "key", quota: str = "quota", buckets: int = 64) -> DataFrame:
+def hash_places(rows: DataFrame, order: Column, lead: tuple[str, ...] = ()) -> DataFrame:
+    """rows with place, from 0, in the order of the lead columns (whole numbers) and then of a hash in hex. Equal ranges of the hash are
+    ranked apart and added up, sixteen for each shuffle partition, so no task sees all rows."""
+    buckets = 16 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    part = [*lead, "_b"]
+    spread = rows.withColumn("_o", order).withColumn("_b", F.floor(F.conv(F.substring("_o", 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(2.0**32)))
+    counts = spread.groupBy(*part).agg(F.count("*").alias("_n"))
+    base = F.coalesce(F.sum("_n").over(Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a bucket
+    ranked = spread.withColumn("_r", F.row_number().over(Window.partitionBy(*part).orderBy("_o"))).join(counts.select(*part, base.alias("_base")), part)
+    return ranked.select(*rows.columns, (F.col("_base") + F.col("_r") - 1).alias("place"))
+
+
+def running(rows: DataFrame, group: str, order: str, amounts: dict[str, Column]) -> DataFrame:
+    """rows with, for each name, the sum of its amount over the group's rows that come before in a numeric order without ties.
+
+    The order is cut at percentiles, as many as there are shuffle partitions: sums over whole ranges, one row each, are added to sums
+    inside a range, so no window holds a group. Where the cuts lie does not change a result."""
+    parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    marks = rows.groupBy(group).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10 * parts).alias("_marks"))
+    placed = rows.join(marks, group).withColumn("_range", F.size(F.filter("_marks", lambda m: m < F.col(order)))).drop("_marks")
+    placed = placed.withColumns({f"_{k}": v for k, v in amounts.items()})
+    sums = placed.groupBy(group, "_range").agg(*[F.sum(f"_{k}").alias(f"_{k}") for k in amounts])
+    ranges = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(group, "_range", *[F.coalesce(F.sum(f"_{k}").over(ranges), F.lit(0)).alias(f"_{k}_before") for k in amounts])
+    inside = Window.partitionBy(group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumns({f"_{k}_inside": F.coalesce(F.sum(f"_{k}").over(inside), F.lit(0)) for k in amounts})
+    return placed.join(before, [group, "_range"]).select(*rows.columns, *[(F.col(f"_{k}_before") + F.col(f"_{k}_inside")).cast("long").alias(k) for k in amounts])
+
+
+def assigned(rows: DataFrame, quotas: DataFrame, order: Column, key: str = "key", quota: str = "quota", block: int = 65536) -> DataFrame:
     """rows with a key each so that every quota is met: the row at place p in the order takes the key whose
-    cumulative quota interval holds p. Places come from per-bucket counts and ranks inside buckets, so no
-    task sees all rows; order must be hex text."""
-    spread = rows.withColumn("_o", order).withColumn("_b", F.conv(F.substring("_o", 1, 4), 16, 10).cast("int") * F.lit(buckets) / 65536).withColumn("_b", F.floor("_b").cast("int"))
-    counts = spread.groupBy("_b").agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    placed = spread.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_o"))).join(counts, "_b").withColumn("place", F.col("_base") + F.col("_r") - 1)
-    upto = F.sum(quota).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cumulative quota interval holds p. Intervals are joined by the blocks of places that they touch. order must be hex text."""
+    upto = F.sum(quota).over(Window.orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow))  # one row a key
     ends = quotas.select(key, F.col(quota).alias("_q"), upto.alias("_end"))
     bounds = ends.withColumn("_start", F.col("_end") - F.col("_q")).where("_q > 0")
-    return placed.join(bounds, (F.col("place") >= F.col("_start")) & (F.col("place") < F.col("_end"))).select(*rows.columns, "place", key)
+    bounds = bounds.withColumn("_block", F.explode(F.sequence(F.floor(F.col("_start") / block), F.floor((F.col("_end") - 1) / block))))
+    placed = hash_places(rows, order).withColumn("_block", F.floor(F.col("place") / block))
+    return placed.join(bounds, (placed._block == bounds._block) & (F.col("place") >= F.col("_start")) & (F.col("place") < F.col("_end"))).select(*rows.columns, "place", key)
 
 
 def split_indexes(rows: DataFrame, split: str = "split", order: str = "ordinal") -> DataFrame:
-    """rows with their 0-based index inside their split."""
-    return rows.withColumn("split_index", F.row_number().over(Window.partitionBy(split).orderBy(order)) - 1)
+    """rows with their 0-based index inside their split; order: numbers without ties."""
+    return running(rows, split, order, {"split_index": F.lit(1)})
 
 
 def capped(rows: DataFrame, group: list[str], order: str, k: Column | int) -> DataFrame:
@@ -82,10 +108,10 @@ def within_slack(counts: DataFrame, slack: int, n: str = "n") -> DataFrame:
 def hash_split(keys: DataFrame, key: str, seed: int, shares: dict[str, float], rest: str = "train") -> DataFrame:
     """Keys ordered by hash; each share takes round(n * share) of them, 1 at least, the rest goes to rest."""
     n = keys.agg(F.count("*").alias("_n"))
-    ranked = keys.withColumn("_rank", F.row_number().over(Window.orderBy(seeded(seed, F.col(key)))) - 1).crossJoin(n)
+    placed = hash_places(keys, seeded(seed, F.col(key))).crossJoin(n)  # one row
     start, out = F.lit(0), F.lit(None).cast("string")
     for name, share in shares.items():
         end = start + F.greatest(F.lit(1), F.bround(F.col("_n") * share).cast("int"))
-        out = F.coalesce(out, F.when((F.col("_rank") >= start) & (F.col("_rank") < end), F.lit(name)))
+        out = F.coalesce(out, F.when((F.col("place") >= start) & (F.col("place") < end), F.lit(name)))
         start = end
-    return ranked.withColumn("split", F.coalesce(out, F.lit(rest))).drop("_rank", "_n")
+    return placed.withColumn("split", F.coalesce(out, F.lit(rest))).drop("place", "_n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import coverage_queries, dedup_queries, file_rule_queries, frame_queries, label_queries, map_queries, quota_queries, validation_queries  # noqa: F401
+from . import asset_queries, coverage_queries, dedup_queries, file_queries, file_rule_queries, frame_queries, label_queries, map_queries, planning_queries, quota_queries, validation_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 #: Columns that DuckDB types more widely than Spark: row numbers are long there, sums of counts 128 bits.
@@ -11,16 +11,10 @@ RESULT_TYPES = {
     "map_audit": {"npcs": "BIGINT"},
     "pieces_in_view": {"visible": "BIGINT"},
     "first_names": {"place": "INTEGER"},
-    "candidate_maps": {"place": "INTEGER"},
     "overlap_image_ratio": {"overlap_images": "BIGINT"},
-    "coco_annotations": {"coco_image_id": "INTEGER", "annotation_id": "INTEGER"},
-    "coco_images": {"coco_image_id": "INTEGER"},
-    "coco_global_ids": {"image_in_split": "INTEGER"},
-    "stems_and_families": {"split_index": "INTEGER"},
     "nearest_foothold": {"distance": "BIGINT"},
     "locations_in_view": {"visible": "BIGINT"},
     "tiled_positions": {"place": "INTEGER"},
-    "schedule": {"split_index": "INTEGER"},
     "visual_checks": {"checks": "BIGINT"},
     "least_used_items": {"pick": "INTEGER"},
     "top_maps": {"rank": "INTEGER"},

@@ -10,6 +10,7 @@ from quarry.operators import incremental as inc
 from .registry import query
 from .views import view
 
+FIRSTS = "f AS (SELECT sig, min(ordinal) AS o FROM {signatures} GROUP BY sig), p AS (SELECT a.o AS i, b.o AS j, bit_count(xor(a.sig, b.sig)) AS distance FROM f a JOIN f b ON a.o < b.o WHERE bit_count(xor(a.sig, b.sig)) <= 2)"
 NEAR = "h AS (SELECT a.ordinal AS i, b.ordinal AS j, bit_count(xor(a.sig, b.sig)) AS distance FROM {signatures} a JOIN {signatures} b ON a.ordinal < b.ordinal WHERE bit_count(xor(a.sig, b.sig)) <= 2)"
 
 
@@ -23,15 +24,27 @@ def accepted_by_digest(spark, sf):
     return d.first_accepted(view(spark, sf, "manifest").select("ordinal", "sha256"), "sha256", "ordinal")
 
 
-@query(f"WITH {NEAR} SELECT i, j, distance::INTEGER AS distance FROM h")
+def classes_and_pairs(spark, sf):
+    rows = view(spark, sf, "signatures").select("ordinal", "sig")
+    classes = d.signature_classes(rows)
+    return rows, classes, d.hamming_pairs(classes)
+
+
+@query(f"WITH {FIRSTS} SELECT i, j, distance::INTEGER AS distance FROM p")
 def near_signature_pairs(spark, sf):
-    return d.hamming_pairs(view(spark, sf, "signatures"))
+    """Near pairs of distinct signatures, each named by its first row; signature_members has the rows of each."""
+    return classes_and_pairs(spark, sf)[2]
+
+
+@query("SELECT ordinal, min(ordinal) OVER (PARTITION BY sig) AS first_row FROM {signatures}")
+def signature_members(spark, sf):
+    rows, classes, _ = classes_and_pairs(spark, sf)
+    return rows.join(classes, "sig").select("ordinal", F.col("first").alias("first_row"))
 
 
 @query(f"WITH {NEAR} SELECT (SELECT count(*) FROM {{signatures}}) AS rows, count(DISTINCT j) AS near_rows, count(DISTINCT j) / (SELECT count(*) FROM {{signatures}}) AS ratio FROM h")
 def near_duplicate_ratio(spark, sf):
-    rows = view(spark, sf, "signatures")
-    return d.earlier_match_ratio(rows, d.hamming_pairs(rows))
+    return d.earlier_match_ratio(*classes_and_pairs(spark, sf))
 
 
 @query(
@@ -41,8 +54,7 @@ def near_duplicate_ratio(spark, sf):
 )
 def greedy_near_duplicates(spark, sf):
     """First come, first kept: a row goes only if it is near a kept earlier row."""
-    rows = view(spark, sf, "signatures").select("ordinal", "sig")
-    return d.greedy_gate(rows, d.hamming_pairs(rows)).select("ordinal", "accepted")
+    return d.greedy_gate(*classes_and_pairs(spark, sf)).select("ordinal", "accepted")
 
 
 @query("SELECT image_id FROM {images} WHERE image_id NOT IN (SELECT image_id FROM {images} WHERE image_id % 4 <> 1)")

@@ -82,7 +82,8 @@ def validate_records(spark, sf):
     images, sigs = view(spark, sf, "images"), view(spark, sf, "signatures")
     stems = images.select(F.concat_ws("_", "split", (F.col("image_id") % 3000).cast("string")).alias("stem"))
     maps = images.agg(F.count_distinct("map_id").alias("maps"))
-    near = dedup.earlier_match_ratio(sigs, dedup.hamming_pairs(sigs))
+    classes = dedup.signature_classes(sigs)
+    near = dedup.earlier_match_ratio(sigs, classes, dedup.hamming_pairs(classes))
     wanted = images.groupBy("scenario").agg(F.count("*").alias("n")).agg(F.sum(F.least("n", F.lit(6))).alias("wanted"))
     checks = images.agg(F.count_if(F.col("image_id") % 700 == 0).alias("checks")).crossJoin(wanted)  # one row each
     splits = spark.createDataFrame([("train",), ("val",), ("test",)], "split string")

@@ -108,15 +108,13 @@ def camera_scores(spark, sf):
 SELECT u.map_id, row_number() OVER (ORDER BY o.map_id IS NULL, n, md5('83:' || u.map_id)) AS place FROM u LEFT JOIN o USING (map_id)""")
 def candidate_maps(spark, sf):
     """Order in which maps are tried: those that worked before, then the least used, then by seeded rank."""
-    from pyspark.sql import Window
-
-    from quarry.operators.quota import seeded
+    from quarry.operators.quota import hash_places, seeded
 
     images = view(spark, sf, "images")
     uses = images.where("split = 'train'").groupBy("map_id").agg(F.count("*").alias("n"))
     worked = images.where("image_id % 50 = 0").select("map_id", F.lit(True).alias("ok")).distinct()
-    order = Window.orderBy(F.col("ok").isNull(), "n", seeded(83, F.col("map_id")))
-    return uses.join(worked, "map_id", "left").select("map_id", F.row_number().over(order).alias("place"))
+    rows = uses.join(worked, "map_id", "left").withColumn("new", F.col("ok").isNull().cast("int"))
+    return hash_places(rows, seeded(83, F.col("map_id")), ("new", "n")).select("map_id", (F.col("place") + 1).alias("place"))
 
 
 @query("""SELECT mob_id, count(*) AS lacking, arg_min(map_id, struct_pack(s := CASE WHEN split = 'train' THEN 0 ELSE 1 END, m := map_id)) AS map_id FROM (SELECT DISTINCT s.mob_id, i.map_id, i.split FROM {spawns} s JOIN {images} i ON s.map_id = i.map_id) q GROUP BY mob_id""")

@@ -83,7 +83,7 @@ def coco_annotations(spark, sf):
 
 @query("SELECT split, row_number() OVER (PARTITION BY split ORDER BY image_id) AS coco_image_id, image_id, 1280 AS width, 224 AS height FROM {images}")
 def coco_images(spark, sf):
-    return labels.coco(view(spark, sf, "images"), view(spark, sf, "boxes"))[0]
+    return labels.coco_rows(view(spark, sf, "images"))
 
 
 @query(
@@ -120,14 +120,21 @@ def stems_and_families(spark, sf):
     return rows.select("image_id", "split", "split_index", t.stem(F.col("split"), F.col("split_index")).alias("stem"), t.scenario_family(F.col("scenario")).alias("family"))
 
 
+@query(f"""SELECT split, {FAMILY} AS family, row_number() OVER (PARTITION BY split, {FAMILY} ORDER BY image_id) AS line_no, image_id AS name FROM {{images}}""")
+def challenge_slices(spark, sf):
+    """The lines of the slice files: names of a split and a family in order."""
+    return labels.slice_lines(view(spark, sf, "images").withColumn("family", t.scenario_family(F.col("scenario"))), "image_id")
+
+
 @query(
-    f"""WITH c AS (SELECT split, {FAMILY} AS family, count(*) AS n, string_agg(image_id::VARCHAR, chr(10) ORDER BY image_id) AS body FROM {{images}} GROUP BY ALL),
+    f"""WITH c AS (SELECT split, {FAMILY} AS family, count(*) AS n FROM {{images}} GROUP BY ALL),
     f AS (SELECT * FROM (VALUES ('train'), ('val'), ('test')) a(split), (VALUES ('natural'), ('dense'), ('edge'), ('occlusion'), ('clutter'), ('negative')) b(family))
-    SELECT f.split, f.family, coalesce(n, 0) AS n, coalesce(body, '') AS body FROM f LEFT JOIN c USING (split, family)"""
+    SELECT f.split, f.family, coalesce(n, 0) AS n FROM f LEFT JOIN c USING (split, family)"""
 )
-def challenge_slices(spark, sf):
+def challenge_slice_sizes(spark, sf):
+    """All slice files with their number of lines, empty ones too."""
     images = view(spark, sf, "images").withColumn("family", t.scenario_family(F.col("scenario")))
-    return labels.slices(images, ["train", "val", "test"], list(t.FAMILIES), "image_id")
+    return labels.slice_sizes(images, ["train", "val", "test"], list(t.FAMILIES))
 
 
 @query(

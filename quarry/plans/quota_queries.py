@@ -98,8 +98,7 @@ def challenge_items(spark, sf):
     items = view(spark, sf, "items").select("item")
     k = F.bround(items.agg(F.count("*")).first()[0] * F.lit(0.05)).cast("int")
     key = F.sha2(F.concat(F.lit("83:"), F.col("item").cast("string")), 256)
-    ranked = items.withColumn("rank_key", key).withColumn("r", F.row_number().over(Window.orderBy("rank_key")))
-    return ranked.where(F.col("r") <= k).select("item", "rank_key")
+    return q.hash_places(items, key).where(F.col("place") < k).select("item", key.alias("rank_key"))
 
 
 @query(
@@ -140,11 +139,11 @@ def split_leakage(spark, sf):
     return sp.leaks(view(spark, sf, "images"), "map_id")
 
 
-@query("SELECT DISTINCT i.map_id FROM {images} i WHERE i.split = 'train' AND i.map_id NOT IN (SELECT map_id FROM {images} WHERE split <> 'train' AND image_id % 7 = 0)")
+@query("SELECT DISTINCT i.map_id FROM {images} i WHERE i.split = 'train' AND i.map_id NOT IN (SELECT map_id FROM {images} WHERE split = 'test' AND map_id % 10 < 3)")
 def training_maps(spark, sf):
     """Set difference: all maps less the held ones."""
     images = view(spark, sf, "images")
-    held = images.where("split <> 'train' and image_id % 7 = 0").select("map_id")
+    held = images.where("split = 'test' and map_id % 10 < 3").select("map_id")
     return images.where("split = 'train'").select("map_id").distinct().join(held, "map_id", "left_anti")
 
 

@@ -68,6 +68,24 @@ class Atlas:
         return pixels[top : top + h, x : x + w]
 
 
+def encode(paths: list[str], boxes: list[tuple[int, int, int, int] | None], alias: list[int], pivots: list[tuple[float, float]], pages: int = 1) -> bytes:
+    """An atlas with a header: frames in the order of paths, with a box on page 0 or, where that is None, the frame they stand for."""
+    direct = [(i, i, 0, k, k) for k, i in enumerate(i for i, b in enumerate(boxes) if b is not None)]
+    links = [(i, -1, -1, alias[i]) for i, b in enumerate(boxes) if b is None]
+    own = [b for b in boxes if b is not None]
+    names = [sprite_key(p).encode() for p in paths]
+    blob, at = MAGIC + np.array([VERSIONS[-1]], "<i4").tobytes(), {}
+    for key, values, dtype in (
+        ("pages", list(range(pages)), "<i4"), ("pivots", [p for p, b in zip(pivots, boxes, strict=True) if b is not None], "<f4"), ("boxes", own, "<i4"), ("direct", direct, "<i4"),
+        ("links", links, "<i4"), ("cuts", np.cumsum([0, *map(len, names)]).tolist(), "<i4"),
+    ):
+        at[key] = len(blob)
+        blob += np.array(values, dtype).tobytes()
+    fields = (pages, at["pages"], 0, 0, 0, len(own), at["pivots"], len(own), at["boxes"], len(direct), at["direct"], len(links), at["links"], len(names), len(blob), at["cuts"], 0, 0, 0)
+    blob += b"".join(names)
+    return bytes(32) + np.array(fields, "<i4").tobytes() + np.array([len(blob)], "<i4").tobytes() + blob
+
+
 def _table(blob: bytes, count: int, offset: int, width: int, kind: str = "<i4") -> np.ndarray:
     if count < 0 or offset < 8 or offset + count * width * 4 > len(blob):
         raise AtlasError("table outside the blob")

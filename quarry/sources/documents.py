@@ -148,6 +148,45 @@ class Document:
         return {self.keys[self.nodes[0, 1]]: self.value(0)}
 
 
+def _pool(texts: list[str]) -> tuple[bytes, int]:
+    """Texts with their offsets behind them, and where the offsets begin."""
+    parts = [t.encode() + b"\0" for t in texts]
+    data = b"".join(parts)
+    data += bytes(-len(data) % 4)
+    return data + np.cumsum([0, *map(len, parts)]).astype("<i4").tobytes(), len(data)
+
+
+def encode(name: str, tree: dict[str, Any]) -> bytes:
+    """A document with a header that holds a tree of maps, bools, ints, floats, texts and (x, y) pairs of floats."""
+    keys, texts, pools = {name: 0}, [], {BOOL: [], INT: [], FLOAT: [], VECTOR: []}
+    nodes = [[MAP, 0, 0, -1, 0, -1, 0, -1]]
+    queue = [(0, tree)]
+    for at, children in queue:  # children of a map stand together, so maps are taken in the order they were met
+        nodes[at][3], nodes[at][4] = (len(nodes) if children else -1), len(children)
+        for key, value in children.items():
+            kind = MAP if isinstance(value, dict) else BOOL if isinstance(value, bool) else INT if isinstance(value, int) else FLOAT if isinstance(value, float) else VECTOR if isinstance(value, tuple) else STRINGS[0]
+            held = texts if kind in STRINGS else pools.get(kind, [])
+            nodes.append([kind, keys.setdefault(key, len(keys)), len(held), -1, 0, at, 0, 0])
+            if kind == MAP:
+                nodes[-1][2] = 0
+                queue.append((len(nodes) - 1, value))
+            else:
+                held.append(value)
+    body = MAGIC + np.array([VERSION], "<i4").tobytes() + np.array(nodes, "<i4").tobytes()
+    h = [0] * (HEADER // 4)
+    h[0], h[1] = len(nodes), 8
+    for place, kind, dtype in ((8, BOOL, "<i2"), (10, INT, "<i4"), (14, FLOAT, "<f4"), (16, VECTOR, "<f4")):
+        h[place], h[place + 1] = len(pools[kind]), len(body)
+        body += np.array(pools[kind], dtype).tobytes()
+        body += bytes(-len(body) % 4)
+    for place, held in ((26, list(keys)), (29, [""]), (32, texts)):
+        data, cuts = _pool(held)
+        h[place : place + 3] = len(held), len(body), len(body) + cuts
+        body += data
+    h[35] = len(body)
+    return np.array(h, "<i4").tobytes() + body
+
+
 def decode_json(blobs: DataFrame, asset: str = "asset", content: str = "content") -> DataFrame:
     """(asset, json, error): every document as JSON text, ready for parse_json; failures do not stop the others."""
 

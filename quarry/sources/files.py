@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from pathlib import Path
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sinks import mounted
+
 REQUIRED = ("client_root", "output_root", "cache_dir", "seed", "image", "splits")
 SIZE = (1280, 224)
 COCO = "images array<struct<id:long,file_name:string,width:int,height:int>>, annotations array<struct<id:long,image_id:long,category_id:int,bbox:array<double>,area:double>>, categories array<struct<id:int,name:string>>"
@@ -15,7 +19,7 @@ COCO = "images array<struct<id:long,file_name:string,width:int,height:int>>, ann
 
 def load_config(path: str | Path) -> dict:
     """A YAML configuration with all required keys and the frame size that the operators assume."""
-    config = yaml.safe_load(Path(path).read_text(encoding="utf-8"))
+    config = yaml.safe_load(mounted(path).read_text(encoding="utf-8"))
     lacking = [k for k in REQUIRED if k not in config]
     if lacking:
         raise ValueError(f"missing keys: {', '.join(lacking)}")
@@ -28,8 +32,9 @@ def listing(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """(path, length) of files, without reading them. Scans skip empty files; the names of the file index, which the
     driver holds for any scan, bring those back with length 0."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder)
-    names = spark.createDataFrame([(n,) for n in files.inputFiles()], "path string")
-    return names.join(files.select("path", "length"), "path", "left").select("path", F.coalesce("length", F.lit(0)).alias("length"))
+    plain = F.regexp_replace("path", "^file:/+", "file:/")  # the index and the scan write local addresses differently
+    names = spark.createDataFrame([(n,) for n in files.inputFiles()], "path string").select(plain.alias("path"))
+    return names.join(files.select(plain.alias("path"), "length"), "path", "left").select("path", F.coalesce("length", F.lit(0)).alias("length"))
 
 
 def reusable(index: DataFrame, bundles: DataFrame) -> bool:
@@ -56,8 +61,8 @@ def label_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 def coco(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(images, annotations) of COCO files."""
-    doc = spark.read.schema(COCO).option("multiLine", "true").json(path).withColumn("file", F.col("_metadata.file_name"))
-    return doc.select("file", F.explode("images").alias("i")).select("file", "i.*"), doc.select("file", F.explode("annotations").alias("a")).select("file", "a.*")
+    doc = spark.read.schema(COCO).option("multiLine", "true").json(path).select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"))
+    return doc.select("path", "file", F.explode("images").alias("i")).select("path", "file", "i.*"), doc.select("path", "file", F.explode("annotations").alias("a")).select("path", "file", "a.*")
 
 
 def image_headers(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -83,3 +88,50 @@ def shared_splits(spark: SparkSession, path: str) -> DataFrame:
     if {r.split for r in rows.where(F.size("maps") > 0).select("split").collect()} != {"train", "val", "test"}:
         raise ValueError("train, val and test must all have maps")
     return rows.select("split", F.explode("maps").alias("map_id"))
+
+
+#: The layout of an item index that can be used again.
+INDEX_VERSION = 1
+
+
+def stored_index(spark: SparkSession, path: str) -> DataFrame | None:
+    """A stored item index of this version; None where there is none or it has another layout, and it must be built."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException:
+        return None
+    if "schema_version" not in df.columns or not df.where(F.col("schema_version") != INDEX_VERSION).isEmpty():
+        return None
+    return df.drop("schema_version")
+
+
+def sidecar(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A JSON document beside a dataset (plan, map selection, geometry) with a declared schema."""
+    return spark.read.schema(schema).option("multiLine", "true").json(path)
+
+
+def pick_maps(maps: DataFrame, ranges: list[tuple[int, int]] = (), without: tuple[str, ...] = (), only: tuple[str, ...] = (), hints: tuple[str, ...] = ()) -> DataFrame:
+    """maps (map_id, map_key): with an id in any of the ranges, both ends included; without ids that begin with a prefix; those listed, if any
+    are; without keys that hold a hint, whatever the case."""
+    number = F.col("map_id").cast("long")
+    keep = F.lit(True)
+    if ranges:
+        keep &= reduce(Column.__or__, [number.between(a, b) for a, b in ranges])
+    for prefix in without:
+        keep &= ~F.col("map_id").startswith(prefix)
+    if only:
+        keep &= F.col("map_id").isin(*only)
+    for hint in hints:
+        keep &= ~F.lower("map_key").contains(hint.lower())
+    return maps.where(keep)
+
+
+def normal_maps(maps: DataFrame) -> DataFrame:
+    """Maps with monsters and platforms that are of no special kind and have no time limit; a missing kind or limit is none."""
+    none = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
+    return maps.where((F.col("mobs") > 0) & (F.col("footholds") > 0) & none("field_type") & none("time_limit"))
+
+
+def point_read(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted (bundle, path_id) with the index's row of each; one that is not there has a null key."""
+    return wanted.join(index, ["bundle", "path_id"], "left")

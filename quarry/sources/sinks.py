@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import shutil
+import zipfile
+from html import escape
 from pathlib import Path
 
 import yaml
@@ -10,16 +13,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def mounted(folder: str | Path) -> Path:
+    """A folder, plain or as a file: address, as a path; other addresses are no files that a task could open."""
+    text = str(folder)
+    if "://" in text and not text.startswith("file://"):
+        raise ValueError(f"{text} is no mounted folder")
+    return Path(re.sub(r"^file:(//)?(?=/)", "", text))
+
+
 def write_manifest(rows: DataFrame, folder: str, mode: str = "append") -> None:
     """JSON lines by split; Spark commits whole files, so a lost task leaves no half record."""
     rows.write.partitionBy("split").mode(mode).json(folder)
 
 
 def write_label_files(bodies: DataFrame, folder: str, name: str = "stem", split: str = "split") -> None:
-    """One text file per image at folder/split/name.txt, put in place by renaming; rows are (split, stem, body).
+    """One text file per image at folder/split/name.txt, put in place by renaming; rows are (split, stem, body). folder is a
+    path that all executors mount.
 
     The files are written by the tasks through the shared file system; a task that runs twice writes the same bytes."""
-    root = str(folder)
+    root = str(mounted(folder))
 
     def put(rows) -> None:
         for r in rows:
@@ -32,9 +44,10 @@ def write_label_files(bodies: DataFrame, folder: str, name: str = "stem", split:
     bodies.select(split, name, "body").foreachPartition(put)
 
 
-def write_images(images: DataFrame, folder: str, suffix: str = ".png") -> None:
-    """One file per image at folder/split/stem, put in place by renaming; rows are (split, stem, image)."""
-    root = str(folder)
+def write_images(images: DataFrame, folder: str, suffix: str = ".jpg") -> None:
+    """One file per image at folder/split/stem, put in place by renaming; rows are (split, stem, image). folder is a path that all
+    executors mount."""
+    root = str(mounted(folder))
 
     def put(rows) -> None:
         for r in rows:
@@ -49,7 +62,7 @@ def write_images(images: DataFrame, folder: str, suffix: str = ".png") -> None:
 
 def enough_disk(folder: str | Path, gigabytes: float) -> None:
     """Raises if less is free; for the driver to call before each batch."""
-    free = shutil.disk_usage(folder).free / 1e9
+    free = shutil.disk_usage(mounted(folder)).free / 1e9
     if free < gigabytes:
         raise OSError(f"{free:.1f} GB free, {gigabytes} needed")
 
@@ -65,19 +78,43 @@ def coco_documents(images: DataFrame, annotations: DataFrame, classes: list[str]
     return own.join(boxes, "split", "left").select("split", F.to_json(F.struct("images", F.coalesce("annotations", F.array()).alias("annotations"), categories.alias("categories"))).alias("document"))
 
 
-def write_slices(slices: DataFrame, folder: str) -> None:
-    """folder/{split}_{family}.txt for each combination, empty ones too."""
-    root = str(folder)
+def write_slices(lines: DataFrame, folder: str) -> None:
+    """The lines (split, family, line_no, name) of all slices as text under folder/split=.../family=.../, in order over the part files
+    of a folder. A slice of any size is written by many tasks; one without lines has no folder."""
+    ordered = lines.repartitionByRange("split", "family", "line_no").sortWithinPartitions("split", "family", "line_no")
+    ordered.select("split", "family", F.col("name").cast("string").alias("value")).write.mode("overwrite").partitionBy("split", "family").text(folder)
+
+
+def write_index(rows: DataFrame, folder: str, version: int) -> None:
+    """An index with the version of its layout, for files.stored_index; Spark commits it as a whole."""
+    rows.withColumn("schema_version", F.lit(version)).write.mode("overwrite").parquet(folder)
 
-    def put(rows) -> None:
-        for r in rows:
-            Path(root).mkdir(parents=True, exist_ok=True)
-            (Path(root) / f"{r['split']}_{r['family']}.txt").write_text(r["body"], encoding="utf-8")
 
-    slices.foreachPartition(put)
+def layout_folders(root: str | Path, splits: tuple[str, ...] = ("train", "val", "test")) -> list[str]:
+    """Makes a dataset's folders and gives their names."""
+    names = [f"{kind}/{s}" for kind in ("images", "labels") for s in splits] + ["annotations", "visual_checks", "catalogs"]
+    for n in names:
+        (mounted(root) / n).mkdir(parents=True, exist_ok=True)
+    return names
 
 
 def data_yaml(path: str | Path, roots: list[str], classes: list[str]) -> None:
     """data.yaml over one or more dataset folders: the splits are the unions of their image folders."""
     one = lambda split: f"{roots[0]}/images/{split}" if len(roots) == 1 else [f"{r}/images/{split}" for r in roots]
-    Path(path).write_text(yaml.safe_dump({s: one(s) for s in ("train", "val", "test")} | {"names": dict(enumerate(classes))}, sort_keys=False), encoding="utf-8")
+    mounted(path).write_text(yaml.safe_dump({s: one(s) for s in ("train", "val", "test")} | {"names": dict(enumerate(classes))}, sort_keys=False), encoding="utf-8")
+
+
+def write_preview(folder: str | Path, pages: dict[str, bytes], title: str, note: str) -> Path:
+    """An overview of a few images for people: the images, an HTML index, a README.txt, and all of it as one archive. Called on the driver."""
+    root = mounted(folder)
+    root.mkdir(parents=True, exist_ok=True)
+    for name, data in pages.items():
+        (root / name).write_bytes(data)
+    cells = "".join(f'<figure><img src="{escape(n)}" alt="{escape(n)}"><figcaption>{escape(n)}</figcaption></figure>' for n in sorted(pages))
+    (root / "index.html").write_text(f"<!DOCTYPE html><meta charset=utf-8><title>{escape(title)}</title><h1>{escape(title)}</h1>{cells}", encoding="utf-8")
+    (root / "README.txt").write_text(f"{title}\n\n{note}\n", encoding="utf-8")
+    archive = root.with_suffix(".zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for name in [*sorted(pages), "index.html", "README.txt"]:
+            z.write(root / name, f"{root.name}/{name}")
+    return archive

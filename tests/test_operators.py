@@ -64,19 +64,49 @@ def test_coverage_split(spark):
 def test_greedy_gate(spark):
     pairs = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (1, 5), (4, 5)], "i int, j int")
     df = spark.range(1, 7).withColumnRenamed("id", "ordinal")
-    assert {r.ordinal for r in dedup.greedy_gate(df, pairs).collect() if r.accepted} == {1, 3, 6}
+    classes = df.select(F.col("ordinal").alias("sig"), F.col("ordinal").alias("first"))
+    more = df.unionByName(spark.range(7, 9).withColumnRenamed("id", "ordinal"))  # rows with a signature that came before
+    assert {r.ordinal for r in dedup.greedy_gate(more, classes, pairs).collect() if r.accepted} == {1, 3, 6}
 
 
 def test_hamming_pairs_by_brute_force(spark):
     rng = np.random.default_rng(4)
     base = rng.integers(-(2**63), 2**63 - 1, 60)
     sigs = [int(b) ^ (0 if f == 0 else sum(1 << int(x) for x in rng.choice(62, f, replace=False))) for b in base for f in (0, 1, 2, 3, 0)]
-    got = {(r.i, r.j): r.distance for r in dedup.hamming_pairs(spark.createDataFrame(list(enumerate(sigs)), "ordinal long, sig long")).collect()}
+    df = spark.createDataFrame(list(enumerate(sigs)), "ordinal long, sig long")
+    classes = dedup.signature_classes(df)
+    first = {}
+    for i, sig in enumerate(sigs):
+        first.setdefault(sig, i)
+    assert {r.sig: r.first for r in classes.collect()} == first
     mask = 2**64 - 1
-    expected = {(i, j): d for i in range(len(sigs)) for j in range(i + 1, len(sigs)) if (d := ((sigs[i] & mask) ^ (sigs[j] & mask)).bit_count()) <= 2}
-    assert got == expected
-    with pytest.raises(ValueError):
-        dedup.hamming_pairs(spark.createDataFrame([(1, 1)], "ordinal long, sig long"), distance=4)
+    own = sorted(first.values())
+    for most in (0, 1, 2, 4):
+        got = {(r.i, r.j): r.distance for r in dedup.hamming_pairs(classes, most).collect()}
+        assert got == {(i, j): d for i in own for j in own if i < j and (d := ((sigs[i] & mask) ^ (sigs[j] & mask)).bit_count()) <= most}
+    ratio = dedup.earlier_match_ratio(df, classes, dedup.hamming_pairs(classes)).first()
+    assert ratio.near_rows == sum(any(((sigs[i] & mask) ^ (sigs[j] & mask)).bit_count() <= 2 for i in range(j)) for j in range(len(sigs)))
+    accepted = []
+    for j in range(len(sigs)):
+        if not any(((sigs[i] & mask) ^ (sigs[j] & mask)).bit_count() <= 2 for i in accepted):
+            accepted.append(j)
+    assert sorted(r.ordinal for r in dedup.greedy_gate(df, classes, dedup.hamming_pairs(classes)).collect() if r.accepted) == accepted
+
+
+def test_running_sums_and_places(spark):
+    import hashlib
+
+    rng = np.random.default_rng(6)
+    order = rng.permutation(5000)[:900].tolist()
+    rows = [(int(o), "ab"[int(rng.random() < 0.2)], int(rng.integers(0, 9))) for o in order]
+    got = {r.o: (r.before, r.total) for r in quota.running(spark.createDataFrame(rows, "o long, k string, n int"), "k", "o", {"before": F.lit(1), "total": F.col("n")}).collect()}
+    for o, k, _ in rows:
+        own = [x for x in rows if x[1] == k and x[0] < o]
+        assert got[o] == (len(own), sum(x[2] for x in own))
+    places = {r.o: r.place for r in quota.hash_places(spark.createDataFrame(rows, "o long, k string, n int"), quota.seeded(1, F.col("o")), ("n",)).collect()}
+    wanted = sorted(rows, key=lambda r: (r[2], hashlib.md5(f"1:{r[0]}".encode()).hexdigest()))
+    assert [places[r[0]] for r in wanted] == list(range(len(rows)))
+    assert quota.running(spark.createDataFrame([], "o long, k string"), "k", "o", {"before": F.lit(1)}).collect() == []
 
 
 def test_nearest_rank(spark):
@@ -95,7 +125,7 @@ def test_empty_inputs(spark):
     from quarry.operators import layout
 
     assert layout.layout_measures(boxes).collect() == [] and layout.box_pairs(boxes).collect() == []
-    assert dedup.hamming_pairs(spark.createDataFrame([], "ordinal long, sig long")).collect() == []
+    assert dedup.hamming_pairs(dedup.signature_classes(spark.createDataFrame([], "ordinal long, sig long"))).collect() == []
 
 
 def test_guard():
@@ -175,10 +205,73 @@ def test_render_scenes(spark):
         spark.createDataFrame(sprites, "path string, height int, width int, pixels binary"), 64, 48,
     ).collect()
     got = {r.scene: r for r in out}
-    assert got[1].image[:4] == b"\x89PNG" and got[1].labels[0].visible_fraction == 0.5 and got[1].labels[0].occlusion_fraction == 0.5
+    assert got[1].image[:3] == b"\xff\xd8\xff" and got[1].labels[0].visible_fraction == 0.5 and got[1].labels[0].occlusion_fraction == 0.5
     assert [(x.x, x.y) for x in got[2].labels] == [(30, 20)]
 
 
+def test_hidden_objects_and_unlabelled_ones(spark):
+    sprites = [("red", 10, 12, bytearray(solid(10, 12).tobytes())), ("tile", 4, 4, bytearray(solid(4, 4, (0, 0, 255, 255)).tobytes()))]
+    scenes = [(1, 0, "target", "red", 5, 5, False, 255, 0), (1, 0, "hidden", "red", 11, 5, False, 255, 0), (1, 1, "hidden", "red", 11, 10, False, 255, 0), (1, 0, "npc", "red", 40, 5, False, 255, 0), (1, 0, "back", "tile", 2, 40, False, 128, 6)]
+    out = pixels.render_scenes(
+        spark.createDataFrame(scenes, "scene int, layer int, kind string, path string, x int, y int, flip boolean, alpha int, step_x int"),
+        spark.createDataFrame(sprites, "path string, height int, width int, pixels binary"), 64, 48, quality=None,
+    ).first()
+    assert [(x.x, x.visible_fraction) for x in out.labels] == [(5, 0.5)]
+    first, second = sorted(out.hidden, key=lambda r: r.y)
+    assert (first.visible_fraction, second.visible_fraction) == (0.5, 1.0) and first.max_target_iou == round(60 / 180, 4)
+    image = pixels.read_png(out.image)
+    assert image[6, 45].tolist() == [200, 10, 10, 255] and all((image[41, x, 2] > 245) == ((x - 2) % 6 < 4) for x in range(64))
+
+
+def test_jpeg_opens_elsewhere(spark):
+    """The platform's own decoder reads the files, and the pixels are near."""
+    from quarry.operators.jpeg import jpeg
+
+    rng = np.random.default_rng(3)
+    y, x = np.mgrid[0:53, 0:70]
+    smooth = np.stack([x * 3 % 256, y * 4, 255 - x * 2], axis=2).astype(np.uint8)
+    noise = np.kron(rng.integers(0, 256, (7, 9, 3)), np.ones((8, 8, 1))).astype(np.uint8)
+    jvm = spark._jvm
+    for image, quality, most in ((smooth, 95, 6), (noise, 95, 8), (np.full((8, 8, 3), 77, np.uint8), 90, 2), (np.zeros((1, 1, 4), np.uint8), 50, 3), (rng.integers(0, 256, (64, 64, 3)).astype(np.uint8), 100, 3)):
+        data = jpeg(image, quality)
+        stream = jvm.java.io.ByteArrayInputStream(bytearray(data))
+        got = jvm.javax.imageio.ImageIO.read(stream)
+        assert (got.getWidth(), got.getHeight()) == (image.shape[1], image.shape[0])
+        flat = got.getRGB(0, 0, image.shape[1], image.shape[0], None, 0, image.shape[1])
+        pixel = np.array(list(flat), np.int64)
+        rgb = np.stack([pixel >> 16 & 255, pixel >> 8 & 255, pixel & 255], axis=1).reshape(*image.shape[:2], 3)
+        assert np.abs(rgb - image[..., :3]).mean() <= most
+
+
+def test_whole_figures_and_sheets():
+    body = part("x/body", "body", 20, 10, (255, 0, 0, 255), {"neck": (4, 0)})
+    head = part("x/head", "head", 20, 8, (0, 0, 255, 255), {"neck": (4, 20)})
+    far = part("x/head", "head", 20, 8, (0, 0, 255, 255), {"neck": (4, 24)})
+    need = {"body": ("body",), "head": ("head", "face")}
+    assert pixels.whole_figure([body, head], need)["image"].shape == (40, 10, 4)
+    assert pixels.whole_figure([body, far], need) is None and pixels.whole_figure([body], need) is None
+    text = pixels.number_sprite("1024", scale=2)
+    assert text.shape == (14, 34, 4) and (text[..., 3] > 0).any() and not text[0, 0, 3]
+    page = pixels.sheet([solid(4, 4), solid(20, 20)], 2, (10, 8))
+    assert page.shape == (8, 20, 4) and page[4, 5].tolist() == [200, 10, 10, 255] and page[0, 0].tolist() == [255] * 4 and page[0, 10].tolist() == [200, 10, 10, 255]
+
+
+def test_shared_folder_is_needed_off_one_machine(monkeypatch):
+    from quarry.operators import store
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "a"
+
+    with pytest.raises(RuntimeError):
+        store.shared_dir(Session)
+    Session.sparkContext.master = "local[4]"
+    assert store.shared_dir(Session) == store.shared_dir(Session)
+
+
 def test_digest_frames(spark):
     rows = [("a", 10, 12, bytearray(solid(10, 12).tobytes())), ("b", 2, 2, bytearray(16))]
     got = {r.path: r for r in pixels.digest_frames(spark.createDataFrame(rows, "path string, height int, width int, pixels binary")).collect()}
@@ -269,8 +362,10 @@ def test_placement(spark):
     cameras = placement.camera(placed.join(samples.select("sample", "map_id"), "sample"), maps.camera_bounds(footholds), 3).collect()
     assert len(cameras) == 20 and all(-100 <= c.camera_x <= max(-100, 800 - 1280) for c in cameras)
     loot = samples.select("sample", "map_id", "seed", F.lit("dense_stack").alias("layout"), F.lit(15).alias("n"))
-    piles = placement.place_loot(loot, maps.ground_locations(footholds.selectExpr("map_id", "x1 as x", "y1 as y"), footholds)).collect()
-    assert len({(p.sample, p.x, p.y) for p in piles}) == 20 * 15
+    piles = placement.place_loot(loot, footholds.selectExpr("map_id", "x1 + 20 as x", "y1 as y", "foothold_id").where("foothold_id < 3"), footholds).collect()
+    assert len({(p.sample, p.x, p.y) for p in piles}) == len(piles) == 20 * 15
+    for p in piles:
+        assert {1: 0, 2: 200}[p.foothold_id] <= p.x <= {1: 600, 2: 700}[p.foothold_id] and abs(p.y - {1: 100, 2: 50 + 10 * (p.x - 200) / 500}[p.foothold_id]) <= 0.5
 
 
 def test_first_accepted(spark):

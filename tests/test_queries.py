@@ -54,7 +54,7 @@ def test_every_spawn_is_an_anchor(spark):
     for s in spawns:
         maps.setdefault(s.map_id, []).append(s)
     expected = {(a.map_id, a.spawn_id): sum(abs(a.x - b.x) <= 350 and abs(a.y - b.y) <= 70 for b in maps[a.map_id]) for a in spawns}
-    got = catalog.QUERIES["spawns_near_every_spawn"](spark, SF).collect()
+    got = catalog.QUERIES["spawns_near_anchors"](spark, SF).collect()
     assert len(got) == len(spawns) and {(r.map_id, r.spawn_id): r.near for r in got} == expected
 
 
@@ -68,7 +68,7 @@ def test_tiles_repeat_by_their_width(spark):
     for b in view(spark, SF, "boxes").collect():
         base, step = b.x - 640, max(1, b.w)
         expected |= {(b.image_id, b.idx, base + i * step) for i in range(math.floor((-b.w - base) / step) + 1, math.ceil((1280 - base) / step))}
-    got = [(r.image_id, r.idx, r.place) for r in catalog.QUERIES["tiled_positions_by_width"](spark, SF).collect()]
+    got = [(r.image_id, r.idx, r.place) for r in catalog.QUERIES["tiled_positions"](spark, SF).collect()]
     assert len(got) == len(expected) and set(got) == expected
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from quarry.operators import pixels
-from quarry.sources import atlas, documents, files, sinks
+from quarry.sources import atlas, bundles, documents, files, sinks
 
 PATHS = ["Mob/0100100/move/0", "Mob/0100100/stand/0", "Mob/0100100/die1/0"]
 
@@ -188,10 +188,41 @@ def test_catalog_version(spark):
 def test_images_disk_and_index(spark, tmp_path):
     image = pixels.png(np.zeros((3, 4, 4), np.uint8))
     sinks.write_images(spark.createDataFrame([("train", "s0", bytearray(image))], "split string, stem string, image binary"), tmp_path / "images")
-    assert (tmp_path / "images/train/s0.png").read_bytes() == image
+    assert (tmp_path / "images/train/s0.jpg").read_bytes() == image
+    with pytest.raises(ValueError):
+        sinks.mounted("hdfs://host/images")
     sinks.enough_disk(tmp_path, 0)
     with pytest.raises(OSError):
         sinks.enough_disk(tmp_path, 1e12)
     index = spark.createDataFrame([("a.bundle", "k"), ("b.bundle", "l")], "bundle string, asset_key string")
     there = spark.createDataFrame([("x/a.bundle",), ("x/b.bundle",)], "path string")
     assert files.reusable(index, there) and not files.reusable(index, there.limit(1))
+
+
+@pytest.mark.parametrize("kind", [0, 1, 2])
+def test_bundles(kind):
+    held = [("a/b", bytes(range(256)) * 30), ("c", b""), ("d", b"xyz" * 7)]
+    for form, at_end in ((6, False), (7, True)):
+        raw = bundles.packed_bundle(held, kind=kind, block=1000, format=form, at_end=at_end)
+        assert [(e.path, data) for e, data in bundles.Bundle(raw).files()] == held
+        assert [e[0] for e in bundles.entries(raw)] == ["a/b", "c", "d"]
+        for broken in (raw[: len(raw) // 2], b"UnityFS\0", b"nothing", raw[:40]):
+            with pytest.raises(bundles.BundleError):
+                bundles.Bundle(broken)
+
+
+def test_lz4_copies():
+    """Literals, a copy, a copy that overlaps itself, and lengths that go on in further bytes."""
+    assert bundles.lz4_block(bytes([0x40]) + b"abcd", 4) == b"abcd"
+    assert bundles.lz4_block(bytes([0x40]) + b"abcd" + bytes([4, 0, 0x10]) + b"!", 9) == b"abcdabcd!"
+    assert bundles.lz4_block(bytes([0x1F]) + b"a" + bytes([1, 0, 255, 3, 0x00]), 1 + 4 + 15 + 255 + 3) == b"a" * 278
+    for bad in (bytes([0x40]) + b"ab", bytes([0x10]) + b"a" + bytes([2, 0]), bytes([0xF0])):
+        with pytest.raises(bundles.BundleError):
+            bundles.lz4_block(bad, 99)
+
+
+def test_encoded_documents_and_atlases():
+    tree = {"a": {"b": 1, "c": True, "e": {"f": {}}}, "d": 0.25, "g": "tëxt", "h": (1.0, -2.0), "i": -(2**31)}
+    assert documents.Document(documents.encode("root", tree)).tree() == {"root": tree | {"h": {"x": 1.0, "y": -2.0}}}
+    a = atlas.read_atlas(atlas.encode(PATHS, [(0, 0, 4, 4), None, (4, 0, 4, 4)], [0, 0, 0], [(0.5, 0.5)] * 3), 3)
+    assert [a.find(p) for p in PATHS] == [0, 1, 2] and a.resolve(1) == 0 and a.box[2].tolist() == [4, 0, 4, 4]
