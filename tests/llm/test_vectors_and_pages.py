@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -248,3 +249,72 @@ def test_scripts_are_no_markup(script):
     assert main_text(f"<script>{script}</script>", article) == prose(300, "body").strip()
     assert main_text("<article><p>One</p>", f"<SCRIPT type=a>{script}</Script ><style>a<b{{}}</style>", "<p>Two</p></article>", f"<script>{script}") == "One Two"
     assert main_text(f"<canvas><script>{script}</script>", article) == prose(300, "body").strip()
+
+
+def test_quotes_and_labels():
+    body = "<p>" + prose(300, "body") + "</p>"
+    assert main_text("<article><p title=\"5\" tall\">One</p><p title='a>b' id=\"x\">Two</p><img alt=\"a > b\">", body, "</article>") == "One Two " + prose(300, "body").strip()
+    assert main_text("<article><p>Text <label>labelled</label> more</p>", body, "</article>") == "Text labelled more " + prose(300, "body").strip()
+    assert main_text("<label for=m>Menu</label><div class=x><p>Text <label>labelled</label> more</p>", body, "</div>") == "Text labelled more " + prose(300, "body").strip()
+    assert main_text("<script><!-- hide</script><article>", body, "</article>") == prose(300, "body").strip()
+    assert main_text("<article><div class=a <p>One</p>", body, "</article>") == "One " + prose(300, "body").strip()
+
+
+@pytest.mark.parametrize("part", ["<a ", "<!", "<div>", "<div class=menu>", "<a x='", "=\"<a ", "<script>", "<svg>", "<li>", "<!--", "<p><table><b>", "&amp", "<"])
+def test_time_is_linear(part):
+    """A megabyte of what opens and never ends."""
+    import time
+
+    began = time.perf_counter()
+    p = html_main.Page(part * (1_000_000 // len(part)) + "<p>end")
+    p.text(p.best())
+    assert time.perf_counter() - began < 30
+
+
+def generated_page(rng):
+    """(html, main text) of a page made of parts whose place is known."""
+    words = lambda n: " ".join("".join(rng.choice(list("abcdefgh")) for _ in range(rng.randint(2, 9))) for _ in range(n))
+    said = []
+
+    def block():
+        kind = rng.choice(["p", "p", "p", "h2", "ul", "quote", "div", "table"])
+        parts = [words(rng.randint(4, 40)) for _ in range(rng.randint(1, 3))]
+        if kind in ("p", "h2", "div"):
+            said.append(" ".join(parts))
+            mixed = f" <b>{parts[0]}</b>\n" + "  ".join(f"<i>{x}</i>" for x in parts[1:])
+            return f"<{kind}>{mixed}</{kind}>"
+        said.extend(parts)
+        if kind == "ul":
+            return "<ul>" + "".join(f"<li>{x}" for x in parts) + "</ul>"
+        if kind == "table":
+            return "<table><tr>" + "".join(f"<td>{x}" for x in parts) + "</table>"
+        return "<blockquote>" + "".join(f"<p>{x}" for x in parts) + "</blockquote>"
+
+    beside = [
+        lambda: "<nav><ul>" + "".join(f"<li><a href='/{i}'>{words(3)}</a>" for i in range(rng.randint(2, 30))) + "</ul></nav>",
+        lambda: f"<aside><p>{words(30)}</p></aside>",
+        lambda: f"<div class='sidebar'><p>{words(40)}</p></div>",
+        lambda: f"<div class='ad-slot-{rng.randint(1, 9)}'>{words(50)}</div>",
+        lambda: f"<form><label>{words(2)}</label><input name=q><button>{words(1)}</button></form>",
+        lambda: f"<script>if (a<b && c>d) {{ x = '<p>{words(5)}' }}</script><style>p > a {{}}</style><!-- {words(9)} <p> -->",
+        lambda: f"<div class='cookie-notice'>{words(20)}</div>",
+        lambda: f"<section id=comments><p>{words(60)}</p></section>",
+        lambda: f"<footer><p>{words(25)}</p></footer>",
+    ]
+    around = lambda: "".join(rng.choice(beside)() for _ in range(rng.randint(0, 4)))
+    inner = "".join(block() + (rng.choice(beside)() if rng.random() < 0.2 else "") for _ in range(rng.randint(4, 14)))
+    inner = rng.choice(["<article class='post-{}'>{}</article>", "<main><div class='wrap'>{1}</div></main>", "<div class='entry-{}'>{}</div>", "<div class=outer><div class='story'>{1}</div></div>"]).format(rng.randint(1, 99), inner)
+    head = "<header><h1>" + words(3) + "</h1></header>" if rng.random() < 0.5 else ""
+    return page(head, around(), inner, around()), " ".join(said)
+
+
+def test_generated_pages(spark):
+    """Texts that are known because the pages were made around them."""
+    rng = random.Random(17)
+    rows, expected = [], {}
+    for i in range(160):
+        source, expected[i] = generated_page(rng)
+        rows.append((i, f"http://host{i}.com/", source, *["c"] * 5))
+    got = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, URLS)).collect()}
+    wrong = [i for i in expected if got[i] != expected[i]]
+    assert not wrong, (rows[wrong[0]][2], expected[wrong[0]], got[wrong[0]])
