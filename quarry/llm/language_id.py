@@ -6,9 +6,10 @@ over its words, so a whole text of any length is scored. The piece probabilities
 expectation step over the segmentations of the training words, counted per task and summed in Spark;
 the driver receives languages x pieces numbers at most, which the vocabulary bounds.
 
-Words are maximal runs of letters of the lower-cased text; runs over WORD letters are scored in
-consecutive parts. The work is vectorised over the distinct words of a batch, each kept in a
-bounded cache of its worker.
+Words are maximal runs of letters of the lower-cased text, whole whatever their length: words up to WORD letters
+are scored many at once, each kept in a bounded cache of its worker, and longer ones letter by letter with the last
+positions alone in memory, to the same sums. The model learns from words, of which those over WORD letters
+count as consecutive parts of WORD letters.
 
 Null texts and texts without a letter give "und" with score 0, as does a model without any language.
 Rows with a null label or id are scored but never learned from. No shuffle of texts takes place.
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from .common import KEPT, in_small_batches, tidy
 from .pieces import BYTE, CONTROL, MARK, UNKNOWN, read_model
 
-WORD = 32
+#: Letters up to which the product of the least probabilities stays a normal double.
+WORD = 40
 #: Probability of a character outside all pieces; start value of every piece in the expectation step.
 STRAY, START = 1e-7, 1 / 256
 CACHE_WORDS, LATTICE = 300_000, 20_000
@@ -42,11 +44,14 @@ _PARTS = re.compile(f".{{1,{WORD}}}", re.S).findall
 def words_of(text: str | None) -> list[str]:
     """Runs of letters of the lower-cased text; empty where there is no letter."""
     found = LETTERS(text.lower()) if text else []
-    if found and max(map(len, found)) > WORD:
-        found = list(chain.from_iterable(map(_PARTS, found)))
     return found if any(c.isalpha() for w in found for c in w) else []
 
 
+def in_parts(words: list[str]) -> list[str]:
+    """words with those over WORD letters in parts."""
+    return list(chain.from_iterable(map(_PARTS, words))) if words and max(map(len, words)) > WORD else words
+
+
 @lru_cache(2)
 def automaton(model: str) -> tuple[ahocorasick.Automaton, int]:
     pieces, _, _ = read_model(model)
@@ -113,6 +118,35 @@ class Lattice:
         return np.bincount(self.token[by], uses, len(p))
 
 
+def long_score(word: str, p: np.ndarray, model: str) -> np.ndarray:
+    """Log of the sum over all segmentations of a word of any length, in every language. p: probabilities[piece, language]."""
+    auto, _ = automaton(model)
+    most, n = max(map(len, auto.keys())), p.shape[1]
+    ring = np.zeros((most + 1, n))  # the last positions, all under one scale for each language
+    ring[0] = 1
+    scale, size = np.zeros(n), most + 1
+    small, up = 2.0**-300, 2.0**300
+    at, now = 0, None
+    for end, value in auto.iter(MARK + word):
+        while at <= end:  # on to the position after this letter
+            if now is not None and now.min() < small:
+                low = now < small
+                ring[:, low] *= up
+                scale[low] -= 300 * np.log(2)
+            now = ring[at % size] * STRAY
+            at += 1
+            ring[at % size] = now
+            now = ring[at % size]
+        length = value & 255
+        if at >= length:
+            now += ring[(at - length) % size] * p[value >> 8]
+    for _ in range(at, len(word) + 1):  # letters after the last piece
+        now = (now if now is not None else ring[0]) * STRAY
+        low = now < small
+        now, scale = np.where(low, now * up, now), scale - low * 300 * np.log(2)
+    return np.log(now) + scale
+
+
 def learn(train: DataFrame, model: str, text: str = "text", lang: str = "lang", smooth: float = 0.1) -> tuple[list[str], np.ndarray]:
     """(languages, probabilities[language, piece]) from every row with a label and a text.
 
@@ -134,7 +168,7 @@ def learn(train: DataFrame, model: str, text: str = "text", lang: str = "lang",
 
         for pdf in batches:
             for k, t in zip(pdf["lang"], pdf["text"], strict=True):
-                seen[k].update(words_of(t))
+                seen[k].update(in_parts(words_of(t)))
                 if len(seen[k]) >= CACHE_WORDS // 2:
                     step(k)
         for k in list(seen):
@@ -161,6 +195,7 @@ class Scorer:
 
     def __init__(self, langs: list[str], probabilities: np.ndarray, model: str):
         self.langs, self.p, self.model = langs, probabilities, model
+        self.by_piece = np.ascontiguousarray(probabilities.T)
         self.clear()
 
     def clear(self) -> None:
@@ -171,18 +206,26 @@ class Scorer:
         docs = [words_of(t) for t in texts]
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        new = list(set().union(*docs) - self.index.keys()) if docs else []
+        every = set().union(*docs) if docs else set()
+        long = {w for w in every if len(w) > WORD}
+        new = list(every - self.index.keys() - long)
         for i in range(0, len(new), LATTICE):
             part = new[i : i + LATTICE]
             lattice = Lattice(part, self.model)
             self.index.update(zip(part, range(len(self.rows), len(self.rows) + len(part)), strict=True))
             self.rows = np.vstack([self.rows, np.column_stack([lattice.scores(p) for p in self.p])]) if self.langs else self.rows
         out = []
+        scored: dict[str, np.ndarray] = {}
         for words in docs:
             if not words or not self.langs:
                 out.append(("und", 0.0))
                 continue
-            sums = self.rows[np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            own = [w for w in words if w not in long] if long else words
+            sums = self.rows[np.fromiter(map(self.index.__getitem__, own), np.int64, len(own))].sum(axis=0)
+            for w, n in Counter(w for w in words if w in long).items() if len(own) < len(words) else ():
+                if w not in scored:
+                    scored[w] = long_score(w, self.by_piece, self.model)
+                sums = sums + n * scored[w]
             odds = np.exp(sums - sums.max())
             best = int(sums.argmax())
             out.append((self.langs[best], float(odds[best] / odds.sum())))

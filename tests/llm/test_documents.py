@@ -89,6 +89,33 @@ def test_forward_sums_all_segmentations():
         assert np.isclose(np.exp(language_id.Lattice([w, "other"], MODEL).scores(p)[0]), total("▁" + w))
 
 
+def test_long_words_are_scored_whole():
+    """Against the matrix form where that does not underflow, and against logarithms all along."""
+    rng = np.random.default_rng(8)
+    p = rng.random((3, 32000)) / 500
+    auto, _ = language_id.automaton(MODEL)
+    known = {w: v >> 8 for w, v in auto.items()}
+
+    def logs(word, own):
+        text = "▁" + word
+        alpha = [0.0]
+        for j in range(1, len(text) + 1):
+            ways = [alpha[j - 1] + np.log(language_id.STRAY)] + [alpha[j - n] + np.log(own[known[text[j - n : j]]]) for n in range(1, min(j, 20) + 1) if text[j - n : j] in known]
+            alpha.append(np.logaddexp.reduce(ways))
+        return alpha[-1]
+
+    for word in ["straße", "theotherthing" * 3, "x" * 45, "字" * 41, "theандтhe字" * 70, "der" * 400, "q字" * 300]:
+        got = language_id.long_score(word, np.ascontiguousarray(p.T), MODEL)
+        assert np.allclose(got, [logs(word, own) for own in p], rtol=1e-10)
+        if len(word) <= language_id.WORD:
+            assert np.allclose(got, [language_id.Lattice([word], MODEL).scores(own)[0] for own in p])
+    scorer = language_id.Scorer(["a", "b", "c"], p, MODEL)
+    text = "the straße " + "der" * 400 + " 1 " + "der" * 400
+    (best, score), = scorer.predict([text])
+    sums = np.array([logs("the", own) + logs("straße", own) + 2 * logs("der" * 400, own) for own in p])
+    assert best == "abc"[sums.argmax()] and np.isclose(score, 1 / np.exp(sums - sums.max()).sum())
+
+
 def test_expected_counts_sum_to_segmentation_lengths():
     p = np.full(32000, 0.01)
     counts = language_id.Lattice(["ab"], MODEL).expected(p, np.array([2.0]))
