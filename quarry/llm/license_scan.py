@@ -4,7 +4,7 @@ Every text is cut into words; the hash of each k consecutive words (k-gram) is j
 of the license templates, a fixed table of a few hundred rows given as a parameter. A match at word i of the text and word j of a
 template votes for the offset diagonal i - j. Votes are summed per diagonal, diagonals at most GAP
 apart merge into one span (insertions and deletions shift a copy by a few words), and a span is verified by the share
-of the template's k-grams that it holds. Where no span of a template holds enough alone, spans that follow each other in
+of the template's k-grams that it holds, each counted once. Where no span of a template holds enough alone, spans that follow each other in
 the text and in the template count together, whatever stands between them. Phrases are templates that must be held without a gap: each of their pairs of words on one diagonal.
 
 Hashes are built by doubling (pairs, then pairs of pairs), so a text costs three passes over its words and
@@ -34,11 +34,21 @@ TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "gpl-notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
     "gpl-3": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details",
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "bsd-conditions": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
+    "mit-conditions": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    "mit-warranty": "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means",
+    "zlib": "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    "boost": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software",
     "cc-by-nc": "Licensed under CC BY-NC 4.0.",
     "cc-deed": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "mit-release": "Released under the MIT License.",
     "all-rights-reserved": "Copyright. All rights reserved.",
+    "public-domain": "This work has been identified as being free of known restrictions under copyright law, including all related and neighboring rights",
 }
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 K, GAP, SHARE = 4, 3, 0.6
@@ -101,7 +111,8 @@ def scan(df: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str,
     votes = hits.join(F.broadcast(table), ["k", "h"]).withColumn("diagonal", F.col("i") - F.col("at"))
     # a repeated row votes twice for the same place: places are distinct
     place = ["id", "th", "name", "phrase", "n", "diagonal"]
-    diagonals = votes.groupBy(*place).agg(F.count_distinct("at").alias("votes"), F.min("at").alias("a"), F.max("at").alias("z"))
+    # at most n places of a template, which is a parameter
+    diagonals = votes.groupBy(*place).agg(F.collect_set("at").alias("ats"), F.min("at").alias("a"), F.max("at").alias("z")).withColumn("votes", F.size("ats"))
     base = (
         diagonals.where("phrase and votes = n")
         .groupBy("id", "th")
@@ -113,7 +124,7 @@ def scan(df: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str,
         .withColumn("new", (F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by), F.lit(GAP + 1)) > GAP).cast("int"))
         .withColumn("span", F.sum("new").over(by))
         .groupBy("id", "th", "name", "n", "span")
-        .agg(F.sum("votes").alias("votes"), F.min("a").alias("a"), F.max("z").alias("z"), F.min(F.col("a") + F.col("diagonal")).alias("i"), F.max(F.col("z") + F.col("diagonal")).alias("j"))
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).cast("long").alias("votes"), F.min("a").alias("a"), F.max("z").alias("z"), F.min(F.col("a") + F.col("diagonal")).alias("i"), F.max(F.col("z") + F.col("diagonal")).alias("j"))
         .groupBy("id", "th", "name", "n")
         .agg(F.max("votes").alias("most"), F.sum("votes").alias("all"), F.sort_array(F.collect_list(F.struct("a", "z", "i", "j", "votes"))).alias("spans"))
         .withColumn("votes", F.when((F.col("most") < SHARE * F.col("n")) & (F.col("all") >= SHARE * F.col("n")), _chained("spans")).otherwise(F.col("most")))

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import re
 
 import duckdb
 import numpy as np
@@ -212,6 +213,69 @@ def test_licenses_with_insertions(spark):
     assert [(r.labels if r.n_base == 0 else ",".join(sorted(set(r.labels.split(",")) - {"gpl"}))) for r in sorted(got, key=lambda r: r.doc_id)] == want
 
 
+def brute_labels(text):
+    """The method's own labels and the score, from lists of words: runs of k words in common, diagonals, spans, shares."""
+    cut = lambda t: re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(LOWER))
+    w, found, best = cut(text), set(), 0.0
+    for name, template in license_scan.TEMPLATES.items():
+        t = cut(template)
+        k = license_scan.K if len(t) >= license_scan.K else 2
+        n = len(t) - k + 1
+        by = collections.defaultdict(set)
+        for i in range(len(w) - k + 1):
+            for j in range(n):
+                if w[i : i + k] == t[j : j + k]:
+                    by[i - j].add(j)
+        spans, last = [], None
+        for d in sorted(by):
+            if last is None or d - last > license_scan.GAP:
+                spans.append([set(), [], []])
+            spans[-1][0] |= by[d]
+            spans[-1][1] += by[d]
+            spans[-1][2] += [d + j for j in by[d]]
+            last = d
+        shape = sorted((min(at), max(at), min(i), max(i), len(s)) for s, at, i in spans)
+        most = max((s[-1] for s in shape), default=0)
+        if most < license_scan.SHARE * n <= sum(s[-1] for s in shape):
+            chain = []
+            for a, z, i, j, votes in shape:
+                chain.append((z, j, votes + max((c[2] for c in chain if c[0] < a and c[1] < i), default=0)))
+            most = max(c[2] for c in chain)
+        if most >= license_scan.SHARE * n:
+            found.add(name)
+            best = max(best, min(1.0, most / n))
+    return found, best
+
+
+def test_labels_and_scores_match_brute_force(spark):
+    """Cut, doubled, mixed and interrupted notices, ties and repeated runs of words inside one span."""
+    import random
+
+    rng = random.Random(21)
+    names = list(license_scan.TEMPLATES)
+    texts = ["", None, "all rights reserved", "copyright all rights reserved copyright all rights", " ".join(["free software you can"] * 40)]
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            w = license_scan.TEMPLATES[rng.choice(names)].split()
+            a = rng.randint(0, len(w) // 2)
+            w = w[a : rng.randint(a + 1, len(w))] if rng.random() < 0.6 else w
+            for _ in range(rng.randint(0, 4)):
+                at = rng.randint(0, len(w))
+                w = w[:at] + rng.choice([[], ["put"], ["some", "words", "in", "here", "now"], w[max(0, at - 5) : at]]) + w[at + rng.randint(0, 2) :]
+            parts += w + ["and"] * rng.randint(0, 6)
+        texts.append(" ".join(parts))
+    got = {r.doc_id: r for r in license_scan.scan(documents(spark, [(i, t, *[None] * 8) for i, t in enumerate(texts)])).collect()}
+    labelled = 0
+    for i, t in enumerate(texts):
+        own, share = brute_labels(t)
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert set(filter(None, got[i].labels.split(","))) == own | base, t
+        assert np.isclose(got[i].score, 1.0 if got[i].n_base else share)
+        labelled += bool(own)
+    assert 30 < labelled < len(texts)
+
+
 def test_license_plan_has_no_python(docs):
     plan = license_scan.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
