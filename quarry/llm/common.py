@@ -5,11 +5,13 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +20,18 @@ from pyspark.sql import functions as F
 SPACE = "\\x20\\x09-\\x0D"
 
 
+@functools.lru_cache
+def _local_dir(app: str) -> str:
+    return tempfile.mkdtemp(prefix="quarry-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder every executor sees: spark.checkpoint.dir. Where it is unset, a temporary one if all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="quarry-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        found = _local_dir(spark.sparkContext.applicationId)
     return f"{found.rstrip('/')}/quarry"
 
 
@@ -32,7 +40,17 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes written tables of which no later result reads: what was made of them is written itself."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(df._written)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def ascii_lower(col):
@@ -93,12 +111,26 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         least = new
 
 
+#: Edges of a graph that one task solves at once; a larger one is contracted first.
+ONE_TASK = 200_000
+
+
+def _solved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(u, p): the least node that each node of a small graph reaches."""
+    edges = [pdf.to_numpy() for pdf in batches]
+    if edges:
+        both = np.concatenate(edges)
+        nodes, at = np.unique(both, return_inverse=True)
+        at = at.reshape(both.shape)
+        yield pd.DataFrame({"u": nodes, "p": nodes[forest(len(nodes), at[:, 0], at[:, 1])]})
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list: (id, component_id), component_id the smallest id reached.
 
     Every round hooks each node to its neighbour of least hashed priority and contracts the graph to
-    the hooks, so the edges shrink by a constant factor a round whatever the order of the ids. Only
-    nodes with an edge are returned; no edge or label leaves the executors. Null ends are ignored.
+    the hooks, so the edges shrink by a constant factor a round whatever the order of the ids; once ONE_TASK or fewer are
+    left, one task solves them. Only nodes with an edge are returned; no edge or label leaves the executors. Null ends are ignored.
     """
     e = written(
         edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
@@ -107,15 +139,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         .distinct()
     )
     label = None
-    while not e.isEmpty():
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        best = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("v"))).alias("m"))
-        own = F.struct(F.xxhash64("a").alias("h"), F.col("a").alias("v"))
-        hook = written(best.select(F.col("a").alias("u"), F.least(own, "m")["v"].alias("p")))
+    while many := e.count():
+        if many <= ONE_TASK:
+            hook = written(e.repartition(1).mapInPandas(_solved, "u long, p long"))
+        else:
+            both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            best = both.groupBy("a").agg(F.min(F.struct(F.xxhash64("b").alias("h"), F.col("b").alias("v"))).alias("m"))
+            own = F.struct(F.xxhash64("a").alias("h"), F.col("a").alias("v"))
+            hook = written(best.select(F.col("a").alias("u"), F.least(own, "m")["v"].alias("p")))
         if label is None:
             label = hook.select(F.col("u").alias("id"), F.col("p").alias("node"))
         else:
             label = label.join(hook, label.node == hook.u, "left").select("id", F.coalesce("p", "node").alias("node"))
+        if many <= ONE_TASK:
+            break
         label = written(label)
         e = written(
             e.join(hook.select(F.col("u").alias("a"), F.col("p").alias("pa")), "a")

@@ -14,7 +14,8 @@ smaller of the two by XOR), bounds the symmetric difference of a candidate pair
 sets themselves compared.
 
 Skew. Equal sets collapse to one class first. Segments travel packed, one row per task and bucket,
-16 bytes an entry at most. A segment shared by g classes yields g - 1 pairs with its least class,
+16 bytes an entry at most; a bucket is matched in parts of HELD entries, between which one class of each segment is kept, so a segment
+of any number of classes takes bounded memory. A segment shared by g classes yields g - 1 pairs with its least class,
 not g * g / 2. Where the classes so connected still differ inside a segment's group, the sketches of its members are
 compared inside a task, which sends on a spanning set of the pairs that pass, two a part at most. These pairs are
 verified on the sets; a component of the sketches' graph that is then still in several parts is compared set by
@@ -39,7 +40,7 @@ from .common import components, forest, in_small_batches, tidy, written
 from .shingles import mix, shingle_sets
 
 NUM, DEN = 3, 4
-BATCH, ENTRIES, CHUNK, MEMBERS, UNIT = 500, 4_000_000, 1024, 64, 128
+BATCH, ENTRIES, HELD, CHUNK, MEMBERS, UNIT = 500, 4_000_000, 8_000_000, 1024, 64, 128
 #: Segments per band: at least ROOM * d + 2, each band 16/9 of the one before.
 ROOM = 1.15
 BANDS = [4]
@@ -180,6 +181,67 @@ def describe(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInPandas(tidy(run), "id long, n long, one long, two long, sketch binary")
 
 
+def _sorted_entries(sig: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (signature, class), in order."""
+    order = np.lexsort((own, sig))
+    sig, own = sig[order], own[order]
+    fresh = np.ones(len(sig), bool)
+    fresh[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
+    return sig[fresh], own[fresh]
+
+
+def _rows(least: np.ndarray, own: np.ndarray, group: np.ndarray, member: np.ndarray) -> list[pd.DataFrame]:
+    edge = np.unique(np.stack([least, own], axis=1)[least != own], axis=0)
+    return [pd.DataFrame({"kind": np.int8(0), "x": edge[:, 0], "y": edge[:, 1]}), pd.DataFrame({"kind": np.int8(1), "x": group, "y": member})]
+
+
+def _met(sigs: list[np.ndarray], ids: list[np.ndarray]) -> list[pd.DataFrame]:
+    """Rows of groups() for a whole bucket. Groups with the same members are one."""
+    sig, own = np.concatenate(sigs), np.concatenate(ids)
+    order = np.argsort(sig)
+    sig, own = sig[order], own[order]
+    again = np.zeros(len(sig) + 1, bool)
+    again[1:-1] = sig[1:] == sig[:-1]
+    shared = again[1:] | again[:-1]
+    sig, own = _sorted_entries(sig[shared], own[shared])
+    if not len(sig):
+        return []
+    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    size = np.diff(np.append(first, len(sig)))
+    group = mix(np.add.reduceat(mix(own.view(np.uint64)), first) + size.astype(np.uint64))
+    _, one = np.unique(group, return_index=True)  # groups with the same members tell the same
+    take = np.zeros(len(first), bool)
+    take[one] = size[one] > 1
+    rows = np.repeat(take, size)
+    return _rows(np.repeat(own[first], size)[rows], own[rows], np.repeat(group, size)[rows].view(np.int64), own[rows])
+
+
+def _met_again(sig: np.ndarray, own: np.ndarray, before: tuple | None) -> tuple[tuple, list[pd.DataFrame]]:
+    """The next part of a bucket: what is kept of it and of before (sorted signatures, least classes, whether alone so far), and rows of
+    groups(), where a group is named after its signature."""
+    sig, own = _sorted_entries(sig, own)
+    first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    size = np.diff(np.append(first, len(sig)))
+    names, least = sig[first], own[first].copy()
+    old, old_least, old_alone = before if before is not None else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool))
+    at = np.minimum(np.searchsorted(old, names), max(0, len(old) - 1))
+    known = old[at] == names if len(old) else np.zeros(len(names), bool)
+    least[known] = old_least[at[known]]
+    late = np.flatnonzero(known)
+    late = late[old_alone[at[late]]]  # their first member has not been told yet
+    take = known | (size > 1)
+    rows = np.repeat(take, size)
+    members = np.concatenate([own[rows], least[late]])
+    group = np.concatenate([np.repeat(names, size)[rows], names[late]]).view(np.int64)
+    out = _rows(np.repeat(least, size)[rows], own[rows], group, members)
+    old_alone = old_alone.copy()
+    old_alone[at[known]] = False
+    every = np.concatenate([old, names[~known]])
+    order = np.argsort(every)
+    kept = (every[order], np.concatenate([old_least, least[~known]])[order], np.concatenate([old_alone, (size == 1)[~known]])[order])
+    return kept, out
+
+
 def groups(docs: DataFrame, k: int, buckets: int) -> DataFrame:
     """Classes (by digest one) that share a segment: kind 0 rows (least class, class), kind 1 rows (group, class)."""
     keys = np.array(even_keys(docs.sparkSession, buckets), np.int64)
@@ -228,39 +290,22 @@ def groups(docs: DataFrame, k: int, buckets: int) -> DataFrame:
             yield flush()
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sigs, ids = [], []
+        """A bucket that is held at once, or part by part: then only (signature, least class, alone) of what came before is kept."""
+        sigs, ids, total = [], [], 0
+        before = None
         for pdf in batches:
             for s, i, r in zip(pdf["sigs"], pdf["ids"], pdf["runs"], strict=True):
                 sigs.append(np.frombuffer(s, np.uint64))
                 ids.append(np.repeat(np.frombuffer(i, np.int64), np.frombuffer(r, np.int32)))
-        if not sigs:
-            return
-        sig, own = np.concatenate(sigs), np.concatenate(ids)
-        del sigs, ids
-        order = np.argsort(sig)
-        sig, own = sig[order], own[order]
-        again = np.zeros(len(sig) + 1, bool)
-        again[1:-1] = sig[1:] == sig[:-1]
-        shared = again[1:] | again[:-1]
-        sig, own = sig[shared], own[shared]
-        order = np.lexsort((own, sig))
-        sig, own = sig[order], own[order]
-        fresh = np.ones(len(sig), bool)
-        fresh[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
-        sig, own = sig[fresh], own[fresh]
-        if not len(sig):
-            return
-        first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        size = np.diff(np.append(first, len(sig)))
-        group = mix(np.add.reduceat(mix(own.view(np.uint64)), first) + size.astype(np.uint64))
-        _, one = np.unique(group, return_index=True)  # groups with the same members tell the same
-        take = np.zeros(len(first), bool)
-        take[one] = size[one] > 1
-        rows = np.repeat(take, size)
-        own, least, group = own[rows], np.repeat(own[first], size)[rows], np.repeat(group, size)[rows].view(np.int64)
-        edge = np.unique(np.stack([least, own], axis=1)[least != own], axis=0)
-        yield pd.DataFrame({"kind": np.int8(0), "x": edge[:, 0], "y": edge[:, 1]})
-        yield pd.DataFrame({"kind": np.int8(1), "x": group, "y": own})
+                total += len(sigs[-1])
+                if total >= HELD:
+                    before, rows = _met_again(np.concatenate(sigs), np.concatenate(ids), before)
+                    yield from rows
+                    sigs, ids, total = [], [], 0
+        if before is not None and sigs:
+            yield from _met_again(np.concatenate(sigs), np.concatenate(ids), before)[1]
+        elif sigs:
+            yield from _met(sigs, ids)
 
     packed = docs.mapInPandas(tidy(pack), "slot int, sigs binary, ids binary, runs binary")
     return packed.repartition(buckets, "slot").mapInPandas(tidy(match), "kind tinyint, x long, y long")
@@ -280,11 +325,13 @@ def _passing(pairs: DataFrame) -> DataFrame:
     return pairs.where((F.least("na", "nb") * DEN >= F.greatest("na", "nb") * NUM) & (F.col("a") != F.col("b"))).mapInPandas(tidy(run), "a long, b long")
 
 
-def chunked(members: DataFrame, group: str, size: int) -> DataFrame:
-    """members with own, i and j: groups over size rows are cut into chunks, and each pair of chunks (i, j) is a unit."""
-    large = members.groupBy(group).agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    large = large.select(group, F.when(F.col("many") > size, F.ceil(F.col("many") * 1.25 / size)).otherwise(1).cast("int").alias("chunks"))
-    cut = members.join(large, group).withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
+def chunked(members: DataFrame, size: int, more: DataFrame) -> DataFrame:
+    """members (g, id, comp) of the groups of several comps, with the columns of more (id, ...), own, i and j: groups over size
+    rows are cut into chunks, and each pair of chunks (i, j) is a unit."""
+    large = members.groupBy("g").agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    # written, so that rows of a hot group are not brought together before they are dealt by chunks
+    large = written(large.select("g", F.when(F.col("many") > size, F.ceil(F.col("many") * 1.25 / size)).otherwise(1).cast("int").alias("chunks")))
+    cut = members.join(large, "g").join(more, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     return cut.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")}).drop("chunks", "other")
 
@@ -303,10 +350,10 @@ def spanning(ids: np.ndarray, comp: np.ndarray, linked: list[tuple[np.ndarray, n
     return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def across(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) that connect the members (g, id, n, sketch, comp) of a group like all its pairs of different comp
-    that pass sizes and sketches."""
-    cut = chunked(members, "g", CHUNK).select("g", "i", "j", "own", "id", "n", "sketch", "comp")
+def across(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect the members (g, id, comp) of a group like all its pairs of different comp
+    that pass sizes and sketches. known: (id, n, sketch)."""
+    cut = chunked(members, CHUNK, known).select("g", "i", "j", "own", "id", "n", "sketch", "comp")
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, n, comp, held = pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["comp"].to_numpy(), pdf["sketch"].tolist()
@@ -333,7 +380,7 @@ def across(members: DataFrame) -> DataFrame:
 def linked_across(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) with the components of all links between members (g, id, comp) of a group with different comp.
     The sets themselves are compared, by blocks of UNIT members."""
-    cut = chunked(members, "g", UNIT).join(sets, "id").select("g", "i", "j", "own", "id", "comp", "tokens")
+    cut = chunked(members, UNIT, sets).select("g", "i", "j", "own", "id", "comp", "tokens")
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in by_unit(batches, ["g", "i", "j"]):
@@ -425,18 +472,16 @@ def jaccard_classes(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     members = written(
         members.join(classes.select("one", "rep"), "one")
         .join(guess.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("g", F.col("rep").alias("id"), F.coalesce("component_id", "rep").alias("guess"))
+        .select("g", F.col("rep").alias("id"), F.coalesce("component_id", "rep").alias("comp"))
     )
-    known = classes.select(F.col("rep").alias("id"), "n", "sketch")
-    mixed = members.groupBy("g").agg(F.min("guess").alias("lo"), F.max("guess").alias("hi")).where("lo <> hi").select("g")
-    second = written(across(members.join(mixed, "g").join(known, "id").withColumnRenamed("guess", "comp")))
+    second = written(across(members, classes.select(F.col("rep").alias("id"), "n", "sketch")))
     pairs = written(first.unionByName(second).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     sets = written(token_sets(pairs, docs, k))
     links = written(verified(pairs, sets))
     parts = written(components(links))
     # every link lies inside a component of the sketches' graph: where that still holds several parts, all are compared
     left = components(pairs).withColumnRenamed("component_id", "g").join(parts, "id", "left").withColumn("comp", F.coalesce("component_id", "id"))
-    more = written(linked_across(left.select("g", "id", "comp"), sets))
+    more = written(linked_across(written(left.select("g", "id", "comp")), sets))
     if not more.isEmpty():
         parts = components(links.unionByName(more))
     of = classes.select("one", "two", "n", "rep").join(parts.withColumnRenamed("id", "rep"), "rep", "left")

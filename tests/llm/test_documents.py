@@ -334,6 +334,48 @@ def test_jaccard_small_sets_and_chains(spark):
     assert [r.component_id for r in got if r.doc_id is None] == [None]
 
 
+@pytest.mark.parametrize("held", [1, 40, 3000])
+def test_jaccard_in_parts(spark, monkeypatch, held):
+    """Buckets that are matched part by part, with one segment that all texts share: the same classes in bounded memory."""
+    monkeypatch.setattr(parity_join, "HELD", held)
+    rng = np.random.default_rng(5)
+    line = "one line that stands in every text of this table and is never changed"
+    rows = []
+    for i in range(120):
+        own = [f"w{int(x)}" for x in rng.integers(0, 10**6, 25)]
+        rows.append((len(rows), " ".join(own) + " " + line, *[None] * 8))
+        if i % 3 == 0:
+            own[int(rng.integers(0, 25))] = "other"
+            rows.append((len(rows), " ".join(own) + " " + line, *[None] * 8))
+    got = parity_join.jaccard_classes(spark.createDataFrame(rows, SCHEMA).repartition(6)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows)
+
+
+def test_parts_of_a_bucket_tell_what_the_whole_tells():
+    rng = np.random.default_rng(6)
+    sig, own = rng.integers(0, 40, 500).astype(np.uint64), rng.integers(0, 90, 500)
+    want = {}
+    for s, o in zip(sig.tolist(), own.tolist(), strict=True):
+        want.setdefault(s, set()).add(o)
+    for step in (1, 7, 100, 500):
+        before, edges, members = None, [], {}
+        for a in range(0, 500, step):
+            before, (star, rows) = parity_join._met_again(sig[a : a + step], own[a : a + step], before)
+            edges += list(zip(star["x"], star["y"], strict=True))
+            for g, o in zip(rows["x"], rows["y"], strict=True):
+                members.setdefault(g, set()).add(o)
+        assert members == {s: m for s, m in want.items() if len(m) > 1}
+        near = {(x, y) for x, y in edges}
+        for m in members.values():  # the edges hold each group together
+            reached, todo = set(), [min(m)]
+            while todo:
+                x = todo.pop()
+                if x not in reached:
+                    reached.add(x)
+                    todo += [b if a == x else a for a, b in near if x in (a, b)]
+            assert m <= reached
+
+
 def test_segments_always_meet():
     """Any two near sets share a signature: checked on random pairs around the bound."""
     rng = np.random.default_rng(4)

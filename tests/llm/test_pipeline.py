@@ -54,9 +54,12 @@ def test_stages_on_nothing(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one_task", [200_000, 30])
+def test_components(spark, monkeypatch, one_task):
     import random
 
+    monkeypatch.setattr(common, "ONE_TASK", one_task)
+
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(200)] + [(1000 + rng.randrange(50), 1000 + rng.randrange(50)) for _ in range(40)] + [(5000, 5000), (None, 3), (7777, 6666)]
     got = {r.id: r.component_id for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
