@@ -5,15 +5,15 @@ last); none gets more than REPEATS times its own size, and what is cut off goes
 With the sources ordered by cap over weight the capped ones are a prefix, so one running sum over the
 source table finds the common level and no iteration is needed.
 
-Taking: a source's documents are read in a fixed pseudo-random order (md5 of the id), as many whole passes as the target
+Taking: a source's documents are read in a fixed pseudo-random order (md5 of the id, then id and size), as many whole passes as the target
 holds and then on to the word where it is reached. Word c of a source's demand is trained at
 position t in [0, 1) where the integral of its weight schedule, 1 + slope * (2t - 1) with a slope between
 -SLOPE and SLOPE fixed by the source's rank, reaches c over the target: the schedule is integrated in
 closed form and inverted by the quadratic formula. Documents are then range-sorted by position.
 
-Scale: running sums are taken in two levels, (source, bucket of the order) and then inside each bucket,
-so a source with a third of all documents is dealt over BUCKETS tasks; only per-bucket sums meet in
-one window. Joins carry per-bucket rows, never a broadcast of unknown size.
+Scale: running sums are taken in two levels, (source, bucket of the order) and then inside each bucket. Buckets are equal
+ranges of the order, BUCKETS of them for each shuffle partition, so a source with a third of all documents is dealt over
+all tasks and the order does not depend on their number; only per-bucket sums meet in one window. Joins carry per-bucket rows, never a broadcast of unknown size.
 
 Null and empty texts have size 0 and take nothing; a source of size 0 has target 0. Rows with equal ids
 stand next to each other in the order and are interchangeable. A null id sorts by an empty key.
@@ -26,18 +26,19 @@ from pyspark.sql import functions as F
 
 from .common import SPACE
 
-REPEATS, BUCKETS, SLOPE = 3, 256, 0.75
+REPEATS, BUCKETS, SLOPE = 3, 16, 0.75
 ADDED = ["size", "source_size", "target", "taken", "passes", "position"]
 
 
 def sized(docs: DataFrame) -> DataFrame:
     """docs with size, the order key of each document, its bucket, and the source as a non-null pair."""
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return docs.withColumns(
         {
             "size": F.coalesce(F.regexp_count("text", F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long"),
             "_order": key,
-            "_bucket": F.pmod(F.conv(F.substring(key, 1, 8), 16, 10).cast("long"), F.lit(BUCKETS)).cast("int"),
+            "_bucket": F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") * F.lit(buckets) / F.lit(2.0**32)).cast("int"),
             "_none": F.col("source").isNull(),
             "_source": F.coalesce("source", F.lit("")),
         }
@@ -121,7 +122,7 @@ l AS (SELECT *, ((SELECT sum(source_size) FROM w) - coalesce(sum(cap) OVER b, 0)
 f AS (SELECT arg_min(lvl, struct_pack(r := cap / weight, k := rnk)) AS lvl FROM l WHERE cap >= lvl * weight),
 t AS (SELECT w.*, least(cap::DOUBLE, f.lvl * weight) AS target FROM w, f),
 c AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.rnk, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole,
-             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY (('0x' || substr(o, 1, 8))::BIGINT % {BUCKETS}), o, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY o, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 m AS (SELECT *, greatest(0, least(size, floor(target)::BIGINT - whole * source_size - start)) AS more,
              least(1.0, start / CASE WHEN target > 0 THEN target END) AS x, (rnk % 7 - 3) * ({SLOPE} / 3)::DOUBLE AS slope FROM c)
