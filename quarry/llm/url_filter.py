@@ -12,7 +12,9 @@ Nulls and urls without "://" have empty host and path and fit no rule (a rule ne
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -102,7 +104,9 @@ def judge(spark: SparkSession, df: DataFrame, rules: Iterable[tuple[str, str, st
     clashing host, path, rule and verdict, which are replaced.
     """
     stem = f"digests-{uuid.uuid4().hex}"
-    for file in DigestArray.build(rules, os.path.join(tempfile.mkdtemp(), stem)):
+    folder = tempfile.mkdtemp(prefix="quarry-")  # executors fetch the files from the driver, which drops them when it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    for file in DigestArray.build(rules, os.path.join(folder, stem)):
         spark.sparkContext.addFile(file)
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
