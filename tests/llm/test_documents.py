@@ -399,34 +399,77 @@ def test_one_of_each(docs):
 # repeated strings
 
 
-def brute_removal(rows, length):
-    texts = [(r[0], (r[1] or "").encode()) for r in rows]
-    seen = collections.Counter(t[i : i + length] for _, t in texts for i in range(len(t) - length + 1))
-    out = []
-    for i, t in texts:
+def covered(rows, length):
+    """Of each text, the mask of bytes in a string of length bytes that starts anywhere else too."""
+    texts = [(r[1] or "").encode() for r in rows]
+    seen = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    for t in texts:
         gone = bytearray(len(t))
+        upto = 0
         for j in range(len(t) - length + 1):
             if seen[t[j : j + length]] > 1:
-                gone[j : j + length] = b"\1" * length
+                for x in range(max(j, upto), j + length):
+                    gone[x] = 1
+                upto = j + length
+        yield t, gone
+
+
+def runs(gone):
+    edges = [j for j in range(len(gone) + 1) if (gone[j - 1] if j else 0) != (gone[j] if j < len(gone) else 0)]
+    return list(zip(edges[::2], edges[1::2], strict=True))
+
+
+def brute_removal(rows, length, passage=240, least=50):
+    out = []
+    short = covered(rows, min(passage, length))
+    for r, (t, gone), (_, near) in zip(rows, covered(rows, length), short, strict=True):
         kept = bytes(c for c, g in zip(t, gone, strict=True) if not g)
-        out.append((i, len(t), sum(gone), sum(1 for j, g in enumerate(gone) if g and (not j or not gone[j - 1])), hashlib.sha256(kept).hexdigest()))
+        passages = sum(len(re.findall(rb"[^\x20\x09-\x0D]+", t[a:b])) >= least for a, b in runs(near))
+        out.append((r[0], len(t), sum(gone), len(runs(gone)), hashlib.sha256(kept).hexdigest(), passages))
     return out
 
 
-@pytest.mark.parametrize(("length", "gram"), [(400, 128), (60, 16)])
-def test_suffix_removal(docs, length, gram):
-    rows = [r for r in awkward_documents() if not r[1] or len(r[1]) < 20000]
-    keep = [r[0] for r in rows]
-    got = suffix_dedup.removal(docs.where(docs.doc_id.isin(keep)), length=length, gram=gram).collect()
-    expected = brute_removal(rows, length)
+def nulls_first(rows):
+    return sorted(map(tuple, rows), key=lambda r: (r[0] is not None, r))
+
+
+def repeating_documents():
+    """Passages of 40 to 70 words in several texts, null ids, one id with two texts, and copies of short and long texts."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdeé"), int(rng.integers(2, 9))))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows = []
+    for n in (40, 49, 51, 55, 60, 70, 90):
+        passage = text(n)
+        rows += [(len(rows) + j, f"{text(30)} {passage} {text(20 + 5 * j)}") for j in range(3)]
+    shared, long = text(110), text(60)
+    rows += [(None, shared), (500, shared), (None, f"{text(9)} {shared}"), (600, f"{shared} {text(12)}"), (600, text(80)), (600, f"{long} {shared[:300]}")]
+    rows += [(None, long), (None, long), (700, long), (701, text(45)), (702, "a b " * 300), (703, "x" * 900)]
+    return [(*r, *[None] * 8) for r in rows]
+
+
+@pytest.mark.parametrize(("length", "gram", "passage", "least"), [(400, 80, 240, 50), (60, 16, 60, 0), (300, 40, 120, 20)])
+def test_suffix_removal(docs, length, gram, passage, least):
+    rows = awkward_documents()
+    got = suffix_dedup.removal(docs, length=length, gram=gram, passage=passage, words=least).collect()
+    expected = brute_removal(rows, length, passage, least)
     assert sorted(map(tuple, got)) == sorted(expected)
-    assert any(0 < e[2] < e[1] for e in expected)
+    assert any(0 < e[2] < e[1] for e in expected) and any(e[5] for e in expected)
+
+
+@pytest.mark.parametrize(("length", "gram", "passage"), [(400, 80, 240), (400, 128, 400), (200, 30, 150)])
+def test_suffix_removal_by_text(spark, length, gram, passage):
+    """Null ids and the texts of one id count like all others."""
+    rows = repeating_documents()
+    got = suffix_dedup.removal(spark.createDataFrame(rows, SCHEMA), length=length, gram=gram, passage=passage).collect()
+    assert nulls_first(got) == nulls_first(brute_removal(rows, length, passage))
+    assert got[0].__fields__ == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages"]
 
 
 def test_suffix_removal_empty(empty, spark):
     assert suffix_dedup.removal(empty).collect() == []
     got = suffix_dedup.removal(spark.createDataFrame([(None, "x" * 500, *[None] * 8), (1, None, *[None] * 8)], SCHEMA)).collect()
-    assert sorted(r.n_bytes for r in got) == [0, 500]
+    assert sorted((r.n_bytes, r.n_removed) for r in got) == [(0, 0), (500, 500)]
 
 
 def test_suffix_removal_in_chunks(spark, monkeypatch):
@@ -449,6 +492,24 @@ def test_suffix_order():
 def test_cleaned_keeps_whole_characters(spark):
     passage = "äöü" * 100
     rows = [(1, "xä" + passage + "ß one", None, None, 0, *[None] * 5), (2, "yö" + passage + "ñ two", None, None, 0, *[None] * 5), (3, None, None, None, None, *[None] * 5), (4, passage * 2, None, None, 0, *[None] * 5)]
-    got = {r.doc_id: r for r in suffix_dedup.cleaned(spark.createDataFrame(rows, SCHEMA)).collect()}
+    got = {r.doc_id: r for r in suffix_dedup.cleaned(spark.createDataFrame(rows, SCHEMA), words=0).collect()}
     assert set(got) >= {1, 2, 3} and got[3].text is None
     assert got[1].text.endswith("ß one") and got[1].n_chars == len(got[1].text) < 20
+
+
+def test_cleaned_matches_brute_force(spark):
+    rows = repeating_documents()
+    got = suffix_dedup.cleaned(spark.createDataFrame(rows, SCHEMA)).collect()
+    expected = []
+    for r, (t, gone) in zip(rows, covered(rows, 240), strict=True):
+        left = t
+        for a, b in reversed([x for x in runs(gone) if len(t[x[0] : x[1]].split()) >= 50]):
+            while a < b and t[a] & 0xC0 == 0x80:
+                a += 1
+            while b > a and b < len(t) and t[b] & 0xC0 == 0x80:
+                b -= 1
+            left = left[:a] + left[b:]
+        if left.split() or left == t:
+            expected.append((r[0], left.decode()))
+    assert nulls_first((r.doc_id, r.text) for r in got) == nulls_first(expected)
+    assert len(got) < len(rows) and {t for _, t in expected} - {r[1] for r in rows}
