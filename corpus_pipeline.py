@@ -3,7 +3,8 @@
 1. language_id: learns from the held-in labelled rows and keeps the documents whose language it tells;
    documents without a letter and those under MIN_SCORE go.
 2. near_duplicates: documents that link by word shingles form groups; the smallest id of each group stays.
-3. repeats: strings that also start elsewhere are cut out of the texts; emptied documents go.
+3. repeats: passages that also stand elsewhere are cut out of the texts: runs of 50 words or more covered by strings of 240
+   bytes that start anywhere else too (suffix_dedup.PASSAGE and WORDS); documents without a word left go.
 4. mixing: the mix decides how often each document is read; one row for each reading, in training order,
    none for documents the mix leaves out.
 5. tokens: encodes and decodes every text; one row per document and reading with its ids and digests.
