@@ -93,9 +93,9 @@ def leakage(images: DataFrame, rule: str, key: str = "map_id") -> DataFrame:
 def layouts(images: DataFrame, boxes: DataFrame, rules: dict[str, str]) -> DataFrame:
     """Layout verdicts (rule per layout) and the multi-platform rule (key platform)."""
     m = layout.layout_measures(boxes).join(images.select("image_id", "layout", "multi_platform"), "image_id")
-    rule = F.coalesce(*[F.when(F.col("layout") == name, F.lit(r)) for name, r in rules.items() if name != "platform"])
-    bad = m.where(~layout.layout_valid()).select(rule.alias("rule_id"), F.col("image_id").cast("string").alias("key"), F.col("layout").alias("detail"))
-    return bad.unionByName(violations(m, rules["platform"], F.col("image_id"), F.col("multi_platform") & (F.col("footholds") < 2), F.col("footholds")))
+    valid = F.coalesce(layout.layout_valid(), F.lit(True))
+    tests = [(rule, F.col("layout").eqNullSafe(name) & ~valid, F.col("layout")) for name, rule in rules.items() if name != "platform"]
+    return row_rules(m, F.col("image_id"), [*tests, (rules["platform"], F.coalesce(F.col("multi_platform") & (F.col("footholds") < 2), F.lit(False)), F.col("footholds"))])
 
 
 def yolo_grammar(lines: DataFrame, key: str, line: str, grammar: str, coordinates: str, classes: int) -> DataFrame:

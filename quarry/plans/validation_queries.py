@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry.operators import coverage as c
 from quarry.operators import labels
 from quarry.operators import validate as v
+from quarry.operators.store import written
 
 from .label_queries import MEASURES, VALID
 from .registry import query
@@ -18,10 +19,10 @@ LABELS = """l AS (SELECT image_id, idx, CASE WHEN image_id % 211 = 0 THEN x - 11
   CASE WHEN image_id % 3 = 0 THEN NULL ELSE (image_id % 31) / 10.0 END AS ground_error, CASE WHEN image_id % 7 = 0 THEN NULL ELSE (image_id % 41) / 40.0 END AS visible_fraction FROM {boxes})"""
 
 
-def planted(spark, sf):
+def planted(boxes):
     i = F.col("image_id")
     h = F.when(i % 97 == 1, 3).otherwise(F.col("h"))
-    return view(spark, sf, "boxes").select(
+    return boxes.select(
         "image_id", "idx", F.when(i % 211 == 0, F.col("x") - 1150).otherwise(F.col("x")).alias("x"), "y", "w", h.alias("h"), "class_id", "foothold_id", "mob_id",
         (F.col("w") * h + F.when(i % 89 == 2, 1).otherwise(0)).alias("area"), F.when((F.col("action_no") == 3) & (i % 5 == 0), "Die1").otherwise("move").alias("action"),
         F.when(i % 3 != 0, (i % 31) / 10).alias("ground_error"), F.when(i % 7 != 0, (i % 41) / 40).alias("visible_fraction"),
@@ -45,9 +46,10 @@ FRAME = "NOT (x >= 0 AND y >= 0 AND x + w <= 1280 AND y + h <= 224 AND w >= 4 AN
 )
 def validate_legacy(spark, sf):
     """Rules A7 to A13 on labels with planted faults."""
-    own, images, boxes = planted(spark, sf), view(spark, sf, "images"), view(spark, sf, "boxes")
+    images, boxes = view(spark, sf, "images"), written(view(spark, sf, "boxes"))  # read by every rule
+    own = planted(boxes)
     known = images.where("image_id % 50 <> 3")
-    m = v.layout.layout_measures(boxes).join(images.select("image_id", "scenario"), "image_id")
+    m = written(v.layout.layout_measures(boxes).join(images.select("image_id", "scenario"), "image_id"))
     return c.union_all(
         [
             v.box_rules(own, "VAL-", {"frame": "A7", "area": "A8", "death": "A9"}),
@@ -81,7 +83,8 @@ def validate_legacy(spark, sf):
 )
 def validate_dataset(spark, sf):
     """Rules on records, histograms, labels and layouts, with planted faults."""
-    own, images, boxes, manifest = planted(spark, sf), view(spark, sf, "images"), view(spark, sf, "boxes"), view(spark, sf, "manifest")
+    images, boxes, manifest = view(spark, sf, "images"), written(view(spark, sf, "boxes")), view(spark, sf, "manifest")  # boxes are read by every rule
+    own = planted(boxes)
     i = F.col("image_id")
     actual = images.withColumns({"split": F.when(i % 401 == 0, "val").otherwise(F.col("split")), "scenario": F.when(i % 307 == 0, "edge_crop").otherwise(F.col("scenario")), "planned": (i % 4).cast("int")})
     total = images.agg(F.count("*").alias("n")).withColumn("m", F.col("n") + 1)
