@@ -60,7 +60,8 @@ def ascii_lower(col):
 
 #: What an operator keeps in a worker process between partitions: name -> how to drop it.
 KEPT: dict[str, Callable[[], None]] = {}
-TEXTS = 2000
+#: Bytes of an Arrow batch that holds texts.
+BATCH_BYTES = 6 << 20
 
 
 def release(keep: str = "") -> None:
@@ -90,10 +91,12 @@ def tidy(run: Callable[[Iterator], Iterator], keep: str = "") -> Callable[[Itera
 
 
 def in_small_batches(df: DataFrame) -> DataFrame:
-    """df, after holding Arrow batches of its session at TEXTS rows: batches count rows, and rows here are whole texts of any length."""
-    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(conf.get(name, "10000")) > TEXTS or int(conf.get(name, "10000")) <= 0:
-        conf.set(name, str(TEXTS))
+    """df, after holding the Arrow batches of its session at BATCH_BYTES: rows here are whole texts of any length. Batches of narrow rows stay
+    as long as they were; a text that is longer is a batch of its own."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(name))
+    if not 0 < now <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
     return df
 
 
