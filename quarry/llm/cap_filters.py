@@ -110,35 +110,50 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
     cut = cut.select(*group, "id", "vector", "held", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     unit = [*group, "i", "j"]
 
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One unit: link counts per vector and its forest's edges."""
-        n, name = len(pdf), int(pdf["filter"].iloc[0])
-        ids, own = pdf["id"].to_numpy(), pdf["own"].to_numpy()
-        unit_rows = _unit(np.frombuffer(b"".join(pdf["vector"]), stored).astype(np.float64).reshape(n, -1))
-        lists = [np.frombuffer(x, np.int32) for x in pdf["held"]]
-        counts = np.fromiter(map(len, lists), np.int64, n)
-        # filters below this one that a row is also in, over the few that occur here
-        lower = np.concatenate(lists)
-        row = np.repeat(np.arange(n), counts)
-        row, lower = row[lower < name], lower[lower < name]
-        names, at = np.unique(lower, return_inverse=True)
-        before = np.zeros((n, len(names)), np.float32)
-        before[row, at] = 1
-        crossing = pdf["i"].iloc[0] != pdf["j"].iloc[0]
+    def links(name: int, crossing: bool, ids: np.ndarray, own: np.ndarray, rows: np.ndarray, held: np.ndarray, counts: np.ndarray) -> tuple | None:
+        """One unit: (ids with links, their number, roots of a spanning forest), None without any. rows are unit vectors, held their filters."""
+        n = len(ids)
         number, parent, cursor = np.zeros(n, np.int64), np.arange(n), 256
+        before = None
         for s in range(0, n, cursor):
             e = slice(s, min(s + cursor, n))
-            found = unit_rows[e] @ unit_rows.T >= threshold
+            found = rows[e] @ rows.T >= threshold
             found &= ids[e, None] != ids[None]
             if crossing:  # pairs inside a chunk are counted where the chunk meets itself
                 found &= own[e, None] != own[None]
+            if not found.any():
+                continue
+            if before is None:  # filters below this one that a row is also in, over the few that occur here
+                row = np.repeat(np.arange(n), counts)
+                row, lower = row[held < name], held[held < name]
+                names, at = np.unique(lower, return_inverse=True)
+                before = np.zeros((n, len(names)), np.float32)
+                before[row, at] = 1
             found &= before[e] @ before.T == 0
             number[e] += found.sum(axis=1)
             a, b = np.nonzero(found)
             if len(a):
                 parent = forest(n, np.concatenate([a + s, np.arange(n)]), np.concatenate([b, parent]))
         linked = number > 0
-        return pd.DataFrame({"id": ids[linked], "n": number[linked], "root": ids[parent[linked]]})
+        return (ids[linked], number[linked], ids[parent[linked]]) if linked.any() else None
+
+    def together(pdf: pd.DataFrame, cut: list[int]) -> Iterator[pd.DataFrame]:
+        """The units of sorted rows, from one place of cut to the next; all rows are decoded at once."""
+        pdf = pdf.iloc[: cut[-1]]
+        ids, own, name = pdf["id"].to_numpy(), pdf["own"].to_numpy(), pdf["filter"].to_numpy()
+        crossing, size = pdf["i"].to_numpy() != pdf["j"].to_numpy(), pdf["width"].to_numpy()
+        counts = np.fromiter((len(x) // 4 for x in pdf["held"]), np.int64, len(pdf))
+        held, upto = np.frombuffer(b"".join(pdf["held"]), np.int32), np.concatenate([[0], np.cumsum(counts)])
+        vectors, ends = np.frombuffer(b"".join(pdf["vector"]), stored), np.concatenate([[0], np.cumsum(size)])
+        out = []
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            if b - a > 1:
+                rows = _unit(vectors[ends[a] : ends[b]].astype(np.float64).reshape(b - a, size[a]))
+                got = links(int(name[a]), bool(crossing[a]), ids[a:b], own[a:b], rows, held[upto[a] : upto[b]], counts[a:b])
+                if got is not None:
+                    out.append(got)
+        if out:
+            yield pd.DataFrame(dict(zip(("id", "n", "root"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Units follow each other sorted; the last one of a batch may go on in the next."""
@@ -149,13 +164,11 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, key: str = "vec_id",
             for c in unit:
                 v = pdf[c].to_numpy()
                 change[1:] |= v[1:] != v[:-1]
-            starts = np.concatenate([[0], np.flatnonzero(change)])
-            out = [links(pdf.iloc[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
-            if out:
-                yield pd.concat(out)
-            rest = pdf.iloc[starts[-1] :]
+            cut = [0, *np.flatnonzero(change).tolist()]
+            yield from together(pdf, cut)
+            rest = pdf.iloc[cut[-1] :]
         if rest is not None and len(rest) > 1:
-            yield links(rest)
+            yield from together(rest, [0, len(rest)])
 
     parts = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = written(cut.repartition(parts, *unit).sortWithinPartitions(*unit).mapInPandas(tidy(stream), "id long, n long, root long"))
