@@ -62,3 +62,29 @@ def crowded_pairs(boxes: DataFrame, gap: int, image: str = "image_id") -> DataFr
     a, b = own.alias("a"), own.alias("b")
     joined = a.join(b, (F.col(f"a.{image}") == F.col(f"b.{image}")) & (F.col("a.idx") < F.col("b.idx")) & ~g.separated(gap))
     return joined.select(F.col(f"a.{image}").alias(image), F.col("a.idx").alias("i"), F.col("b.idx").alias("j"))
+
+
+def pair_bands(boxes: DataFrame, bands: dict[str, tuple[float, float]]) -> DataFrame:
+    """(image_id, one count for each band): pairs whose iou lies in a band, both ends included."""
+    return box_pairs(boxes).groupBy("image_id").agg(*[F.count_if(F.col("iou").between(*b)).alias(n) for n, b in bands.items()])
+
+
+def acceptance() -> list[tuple[str, Column]]:
+    """What speaks against a rendered scene, in the order in which it is asked. Columns: hidden_loot, loot, hidden_pets, pets, lacking
+    (required kinds that are not seen), monsters, planned, players, planned_players (null where players are unlabelled), repeated (boxes that occur
+    again), scenario, moderate and extreme (pairs in these bands), cut and covered (monsters cut or covered to the wanted share), small and
+    tall (monsters of that size), bucket, and those of layout_valid with n, span, footholds and multi_platform."""
+    some = F.col("monsters") > 0
+    has = lambda word: F.col("scenario").contains(word)
+    return [
+        ("hidden", (F.col("hidden_loot") != F.col("loot")) | (F.col("hidden_pets") != F.col("pets")) | (F.col("lacking") > 0)),
+        ("monsters", F.col("monsters") != F.col("planned")),
+        ("players", F.coalesce(F.col("players") != F.col("planned_players"), F.lit(False))),
+        ("repeated", F.col("repeated") > 0),
+        ("dense", ((F.col("scenario") == "dense_moderate") & (F.col("moderate") == 0)) | ((F.col("scenario") == "dense_extreme") & (F.col("extreme") == 0))),
+        ("edge", has("edge") & some & (F.col("cut") == 0)),
+        ("occlusion", has("occlusion") & some & (F.col("covered") == 0)),
+        ("layout", (F.col("monsters") >= 2) & ~F.coalesce(layout_valid(), F.lit(True))),
+        ("platform", F.col("multi_platform") & (F.col("footholds") < 2)),
+        ("size", (F.col("scenario") == "size_extreme") & (((F.col("bucket") == "small") & (F.col("small") == 0)) | ((F.col("bucket") == "large") & (F.col("tall") == 0)))),
+    ]

@@ -168,6 +168,42 @@ def rejection_reasons(spark, sf):
     ).groupBy("reason").agg(F.count("*").alias("n"))
 
 
+MONSTERS = "(SELECT * FROM {boxes} WHERE class_id = 0)"
+SCENES = f"""{MEASURES.replace('{boxes}', MONSTERS)}, d AS (SELECT image_id, count_if(iou BETWEEN 0.05 AND 0.25) AS moderate, count_if(iou BETWEEN 0.25 AND 0.65) AS extreme FROM u GROUP BY image_id),
+c AS (SELECT image_id, count_if(class_id = 0) AS monsters, count_if(class_id = 1) AS players, count(*) - count(DISTINCT (class_id, mob_id, x)) AS repeated, count_if(class_id = 0 AND x + w > 1200 AND idx % 4 > 0) AS cut,
+  count_if(class_id = 0 AND action_no IN (1, 2, 3)) AS covered, count_if(class_id = 0 AND h <= 14) AS small, count_if(class_id = 0 AND h >= 34) AS tall FROM {{boxes}} GROUP BY image_id),
+s AS (SELECT i.image_id, CASE WHEN i.image_id % 17 = 0 THEN 'size_extreme' ELSE i.scenario END AS scenario, i.layout, i.multi_platform, c.*, z.n, z.span, z.max_iou, z.low_pairs, z.pairs, z.mild, z.severe, z.footholds, coalesce(d.moderate, 0) AS moderate, coalesce(d.extreme, 0) AS extreme,
+  CASE WHEN i.image_id % 2 = 0 THEN 'small' ELSE 'large' END AS bucket FROM {{images}} i JOIN c ON i.image_id = c.image_id LEFT JOIN z ON i.image_id = z.image_id LEFT JOIN d ON i.image_id = d.image_id)"""
+
+
+@query(
+    f"""WITH {SCENES} SELECT image_id, CASE WHEN image_id % 37 = 0 OR image_id % 41 = 0 OR image_id % 43 = 0 THEN 'hidden' WHEN image_id % 47 = 0 THEN 'monsters' WHEN image_id % 3 = 0 AND image_id % 53 = 0 THEN 'players' WHEN repeated > 0 THEN 'repeated'
+    WHEN (scenario = 'dense_moderate' AND moderate = 0) OR (scenario = 'dense_extreme' AND extreme = 0) THEN 'dense' WHEN contains(scenario, 'edge') AND monsters > 0 AND cut = 0 THEN 'edge' WHEN contains(scenario, 'occlusion') AND monsters > 0 AND covered = 0 THEN 'occlusion'
+    WHEN monsters >= 2 AND NOT coalesce({VALID}, TRUE) THEN 'layout' WHEN multi_platform AND footholds < 2 THEN 'platform'
+    WHEN scenario = 'size_extreme' AND ((bucket = 'small' AND small = 0) OR (bucket = 'large' AND tall = 0)) THEN 'size' ELSE 'accepted' END AS reason FROM s"""
+)
+def accepted_scenes(spark, sf):
+    """The whole chain of tests of a rendered scene; the first that fails names the reason."""
+    boxes, images = view(spark, sf, "boxes"), view(spark, sf, "images")
+    i, monster = F.col("image_id"), F.col("class_id") == 0
+    counts = boxes.groupBy("image_id").agg(
+        F.count_if(monster).alias("monsters"), F.count_if(~monster).alias("players"), (F.count("*") - F.count_distinct("class_id", "mob_id", "x")).alias("repeated"),
+        F.count_if(monster & (F.col("x") + F.col("w") > 1200) & (F.col("idx") % 4 > 0)).alias("cut"), F.count_if(monster & F.col("action_no").isin(1, 2, 3)).alias("covered"),
+        F.count_if(monster & (F.col("h") <= 14)).alias("small"), F.count_if(monster & (F.col("h") >= 34)).alias("tall"),
+    )
+    own = boxes.where(monster)
+    bands = layout.pair_bands(own, {"moderate": (0.05, 0.25), "extreme": (0.25, 0.65)})
+    rows = images.join(counts, "image_id").join(layout.layout_measures(own), "image_id", "left").join(bands, "image_id", "left").fillna(0, ["moderate", "extreme"])
+    rows = rows.withColumns(
+        {
+            "scenario": F.when(i % 17 == 0, "size_extreme").otherwise(F.col("scenario")), "bucket": F.when(i % 2 == 0, "small").otherwise("large"), "loot": F.lit(2), "hidden_loot": F.when(i % 37 == 0, 1).otherwise(2),
+            "pets": F.lit(0), "hidden_pets": (i % 41 == 0).cast("int"), "lacking": (i % 43 == 0).cast("int"), "planned": F.col("monsters") + (i % 47 == 0).cast("int"),
+            "planned_players": F.when(i % 3 == 0, F.col("players") + (i % 53 == 0).cast("int")),
+        }
+    )
+    return labels.first_failure(rows, layout.acceptance()).select("image_id", "reason")
+
+
 @query("""SELECT image_id, string_agg(idx::VARCHAR, ',' ORDER BY foothold_id, idx) AS draw_order FROM {boxes} GROUP BY image_id""")
 def draw_order(spark, sf):
     """Layer order: depth, then index, a stable sort of each image's parts."""
