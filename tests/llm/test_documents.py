@@ -90,6 +90,66 @@ def test_forward_sums_all_segmentations():
         assert np.isclose(np.exp(language_id.Lattice([w, "other"], MODEL).scores(p)[0]), total("▁" + w))
 
 
+def test_language_query_matches_enumeration(spark, tmp_path):
+    """The whole query against all segmentations written out: counts of one expectation step, then sums over words."""
+    import functools
+    import random
+    import zlib
+
+    from quarry.llm import queries
+
+    rng = random.Random(12)
+    pool = {"en": "the and of with this from some more", "de": "der die und nicht auch über mehr groß", "es": "el la de que los más año con"}
+    rows = []
+    for i in range(60):
+        k = rng.choice(list(pool))
+        rows.append((i, " ".join(rng.choice(pool[k].split()) for _ in range(rng.randint(1, 6))) + rng.choice([" 7", ".", " X"]), k if i % 7 else None, None, 1))
+    rows += [(90, None, "en", None, 1), (91, "12 %", "de", None, 1), (92, "", None, None, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.op3_language_id(spark, str(tmp_path)).collect()}
+    auto, size = language_id.automaton(MODEL)
+    known = {w: v >> 8 for w, v in auto.items()}
+
+    @functools.cache
+    def ways(text):
+        """All segmentations: tuples of piece numbers, -1 for a character of no piece."""
+        if not text:
+            return [()]
+        found = [(-1, *rest) for rest in ways(text[1:])]
+        for n in range(1, len(text) + 1):
+            if text[:n] in known:
+                found += [(known[text[:n]], *rest) for rest in ways(text[n:])]
+        return found
+
+    def weights(word, p):
+        return [(w, np.prod([language_id.STRAY if x < 0 else p(x) for x in w])) for w in ways("▁" + word)]
+
+    letters = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    out = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i, *_ in rows}
+    model = {}
+    for k in sorted(pool):
+        uses = np.full(size, 0.1)
+        for i, t, lang, *_ in rows:
+            if lang == k and not out[i]:
+                for word in letters(t):
+                    all_ways = weights(word, lambda x: language_id.START)
+                    total = sum(v for _, v in all_ways)
+                    for w, v in all_ways:
+                        for x in w:
+                            if x >= 0:
+                                uses[x] += v / total
+        model[k] = uses / uses.sum()
+    for i, t, *_ in rows:
+        words_ = letters(t)
+        assert got[i].held_out == out[i]
+        if not words_:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        logs = np.array([sum(np.log(sum(v for _, v in weights(w, lambda x, p=model[k]: p[x]))) for w in words_) for k in sorted(model)])
+        odds = np.exp(logs - logs.max())
+        assert got[i].lang_pred == sorted(model)[int(logs.argmax())] and np.isclose(got[i].score, 1 / odds.sum(), atol=1e-4)
+
+
 def test_long_words_are_scored_whole():
     """Against the matrix form where that does not underflow, and against logarithms all along."""
     rng = np.random.default_rng(8)
@@ -497,9 +557,8 @@ def test_cleaned_keeps_whole_characters(spark):
     assert got[1].text.endswith("ß one") and got[1].n_chars == len(got[1].text) < 20
 
 
-def test_cleaned_matches_brute_force(spark):
-    rows = repeating_documents()
-    got = suffix_dedup.cleaned(spark.createDataFrame(rows, SCHEMA)).collect()
+def brute_cleaned(rows):
+    """(id, text) of the rows that cleaned() leaves."""
     expected = []
     for r, (t, gone) in zip(rows, covered(rows, 240), strict=True):
         left = t
@@ -511,5 +570,11 @@ def test_cleaned_matches_brute_force(spark):
             left = left[:a] + left[b:]
         if left.split() or left == t:
             expected.append((r[0], left.decode()))
+    return expected
+
+
+def test_cleaned_matches_brute_force(spark):
+    rows = repeating_documents()
+    got, expected = suffix_dedup.cleaned(spark.createDataFrame(rows, SCHEMA)).collect(), brute_cleaned(rows)
     assert nulls_first((r.doc_id, r.text) for r in got) == nulls_first(expected)
     assert len(got) < len(rows) and {t for _, t in expected} - {r[1] for r in rows}

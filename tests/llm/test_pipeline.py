@@ -1,8 +1,10 @@
 import collections
+import hashlib
 
 import pytest
-from helpers import documents, words
-from test_documents import brute_classes
+import sentencepiece
+from helpers import MODEL, documents, words
+from test_documents import brute_classes, brute_cleaned
 
 import corpus_pipeline
 from quarry.llm import common
@@ -34,10 +36,13 @@ def test_stages(spark, stages):
     assert kept == {r.doc_id for r in stages["documents"] if any(c.isalpha() for c in r.text or "")}
     before = [(r.doc_id, r.text) for r in stages["language_id"]]
     assert sorted(r.doc_id for r in stages["near_duplicates"]) == sorted(i for i, (_, c) in brute_classes(before).items() if i == c)
-    own = {r.doc_id: r for r in stages["near_duplicates"]}
-    for r in stages["repeats"]:
-        assert len(r.text) <= len(own[r.doc_id].text) and r.n_chars == len(r.text)
-    assert any(len(r.text) < len(own[r.doc_id].text) for r in stages["repeats"])
+    own = {r.doc_id: r.text for r in stages["near_duplicates"]}
+    assert sorted((r.doc_id, r.text) for r in stages["repeats"]) == sorted(brute_cleaned([(r.doc_id, r.text) for r in stages["near_duplicates"]]))
+    assert all(r.n_chars == len(r.text) for r in stages["repeats"]) and any(r.text != own[r.doc_id] for r in stages["repeats"])
+    lib, whole = sentencepiece.SentencePieceProcessor(model_file=MODEL), {r.doc_id: r.text for r in stages["mixing"]}
+    for r in stages["tokens"]:
+        ids = lib.encode(whole[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
     read = collections.Counter(r.doc_id for r in stages["mixing"])
     assert set(read) <= {r.doc_id for r in stages["repeats"]} and max(read.values()) <= 3
     assert collections.Counter(r.doc_id for r in stages["tokens"]) == read
