@@ -14,7 +14,6 @@ RESULT_TYPES = {
     "overlap_image_ratio": {"overlap_images": "BIGINT"},
     "nearest_foothold": {"distance": "BIGINT"},
     "locations_in_view": {"visible": "BIGINT"},
-    "tiled_positions": {"place": "INTEGER"},
     "visual_checks": {"checks": "BIGINT"},
     "least_used_items": {"pick": "INTEGER"},
     "top_maps": {"rank": "INTEGER"},

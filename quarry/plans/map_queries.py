@@ -125,14 +125,15 @@ def nearest_actor(spark, sf):
 
 
 @query(
-    """WITH b AS (SELECT image_id, idx, x - 640 AS base, greatest(1, w) AS step, w FROM {boxes})
-    SELECT image_id, idx, (unnest(range((floor((-w - base) / step) + 1)::BIGINT, ceil((1280 - base) / step)::BIGINT)) * step + base)::INTEGER AS place FROM b"""
+    """WITH b AS (SELECT image_id, idx, x - 640 AS base, greatest(1, w) AS step, w FROM {boxes}),
+    p AS (SELECT image_id, idx, list_transform(range((floor((-w - base) / step) + 1)::BIGINT, ceil((1280 - base) / step)::BIGINT), lambda i: i * step + base) AS spots FROM b)
+    SELECT image_id, idx, len(spots)::INTEGER AS places, list_min(spots)::INTEGER AS first_place, list_max(spots)::INTEGER AS last_place, coalesce(list_sum(spots), 0)::BIGINT AS total FROM p"""
 )
 def tiled_positions(spark, sf):
-    """Where a background sprite without a step of its own is drawn: it repeats by its width."""
-    b = view(spark, sf, "boxes")
-    at = g.tile_range(F.col("x") - 640, F.greatest(F.lit(1), "w"), g.WIDTH, F.col("w"))
-    return b.select("image_id", "idx", F.explode(at).alias("place"))
+    """Where a background sprite without a step of its own is drawn: it repeats by its width. All places of every sprite, as one row a sprite."""
+    b = view(spark, sf, "boxes").select("image_id", "idx", g.tile_range(F.col("x") - 640, F.greatest(F.lit(1), "w"), g.WIDTH, F.col("w")).alias("at"))
+    total = F.aggregate("at", F.lit(0).cast("long"), lambda t, x: t + x)
+    return b.select("image_id", "idx", F.size("at").alias("places"), F.array_min("at").alias("first_place"), F.array_max("at").alias("last_place"), total.alias("total"))
 
 
 @query(
