@@ -264,3 +264,35 @@ def whole_figures(spark, sf):
     schema = "figure int, path string, z string, height int, width int, pixels binary, origin_x int, origin_y int, anchors map<string, struct<x:int,y:int>>"
     made = view(spark, sf, "items").select("item").mapInPandas(parts, schema)
     return pixels.figures(made, {"body": ("body",), "head": ("head",)}).select("figure", "complete", "width", "height")
+
+
+@query(
+    """SELECT item, ((4 * length(item::VARCHAR) - 1) * 2 + 4)::INTEGER AS width, 14 AS height, (4 * list_sum(list_transform(string_split(item::VARCHAR, ''), lambda c: [12, 8, 11, 11, 9, 11, 12, 7, 13, 12][c::INTEGER + 1])))::BIGINT AS coloured FROM {items}"""
+)
+def number_sprites(spark, sf):
+    """Numbers drawn as sprites: their size and the pixels of their digits."""
+
+    @F.pandas_udf("width int, height int, coloured long")
+    def draw(items: pd.Series) -> pd.DataFrame:
+        made = [pixels.number_sprite(str(i), scale=2, colour=(255, 188, 32)) for i in items]
+        return pd.DataFrame({"width": [m.shape[1] for m in made], "height": [m.shape[0] for m in made], "coloured": [int((m[..., 0] == 255).sum()) for m in made]})
+
+    return view(spark, sf, "items").select("item", draw("item").alias("m")).select("item", "m.*")
+
+
+LIGHT = "(ARRAY[0.55, 0.70, 1.25, 1.40])[item % 4 + 1]::DOUBLE"
+
+
+@query(f"SELECT item, least(255, round_even((item % 256) * {LIGHT}, 0))::INTEGER AS bright, round_even((item % 256) * (1 - 0.25::DOUBLE), 0)::INTEGER AS faded, 255 AS alpha FROM {{items}}")
+def lit_sprites(spark, sf):
+    """Brightness by a factor and a blend towards black; alpha stays."""
+
+    @F.pandas_udf("bright int, faded int, alpha int")
+    def draw(items: pd.Series) -> pd.DataFrame:
+        rows = []
+        for i in items:
+            image = np.full((1, 1, 4), (i % 256, 0, 0, 255), np.uint8)
+            rows.append((int(pixels.lit(image, (0.55, 0.70, 1.25, 1.40)[i % 4])[0, 0, 0]), int(pixels.faded(image, 0.25)[0, 0, 0]), int(pixels.lit(image, 0.55)[0, 0, 3])))
+        return pd.DataFrame(rows, columns=["bright", "faded", "alpha"])
+
+    return view(spark, sf, "items").select("item", draw("item").alias("m")).select("item", "m.*")

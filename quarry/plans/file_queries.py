@@ -240,3 +240,13 @@ def pet_catalogue(spark, sf):
     rows = view(spark, sf, "items").select("category", F.concat_ws("x", "saturation", "width").alias("digest"), "height", "item")
     chosen = frames.first_unseen(rows, "category", "digest", ["height", "item"])
     return chosen.agg(F.count("*").alias("pets"), (F.count("*") == F.count_distinct("digest")).alias("distinct_digests"))
+
+
+@query(
+    """WITH v AS (SELECT 'R' || class_id AS rule_id, image_id::VARCHAR AS key, idx::VARCHAR AS detail FROM {boxes}), r AS (SELECT *, row_number() OVER (PARTITION BY rule_id ORDER BY key, detail) AS r FROM v),
+    k AS (SELECT rule_id, string_agg(DISTINCT key, ',' ORDER BY key) AS keys FROM r WHERE r <= 100 GROUP BY rule_id) SELECT rule_id, n, keys FROM (SELECT rule_id, count(*) AS n FROM v GROUP BY rule_id) c JOIN k USING (rule_id)"""
+)
+def violation_report(spark, sf):
+    """How often each rule is broken, with the keys of the first hundred cases."""
+    b = view(spark, sf, "boxes").select(F.concat(F.lit("R"), "class_id").alias("rule_id"), F.col("image_id").cast("string").alias("key"), F.col("idx").cast("string").alias("detail"))
+    return report.validation_report(b).select("rule_id", "n", F.array_join("keys", ",").alias("keys"))

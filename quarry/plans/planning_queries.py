@@ -246,3 +246,27 @@ def legacy_map_split(spark, sf):
     ids = [str(r.map_id) for r in view(spark, sf, "spawns").select("map_id").distinct().limit(splits.MOST).collect()]
     rows = spark.createDataFrame(list(splits.legacy_split(ids, 7).items()), "map_id string, split string")
     return rows.groupBy("split").agg(F.count("*").alias("maps"))
+
+
+@query(
+    """SELECT image_id, idx, greatest(0, least(x + 200, 1280 - w)) AS kept_x, round_even(x + 640 + (y * 7 + 640) * ((idx * 37) % 200 - 100)::DOUBLE / 100 - h, 0)::INTEGER AS drawn_x FROM {boxes}"""
+)
+def sprite_corners(spark, sf):
+    """Frames moved into the viewport, and background sprites that follow the camera by a rate."""
+    b = view(spark, sf, "boxes")
+    rate = ((F.col("idx") * 37) % 200 - 100).cast("double")
+    return b.select("image_id", "idx", g.clamped(F.col("x") + 200, F.col("w")).alias("kept_x"), g.parallax_base(F.col("x"), F.col("y") * 7, rate, g.WIDTH, F.col("h")).alias("drawn_x"))
+
+
+@query(
+    """SELECT image_id, CASE WHEN image_id % 11 = 0 THEN 'count' WHEN image_id % 13 = 0 THEN 'outside' WHEN image_id % 17 = 0 THEN 'crowded' WHEN image_id % 3 + 1 > 1 AND (image_id % 10) / 10.0 < 0.45 THEN 'narrow'
+    WHEN image_id % 19 = 0 THEN 'clipped' WHEN image_id % 23 = 0 THEN 'hidden' ELSE 'accepted' END AS reason FROM {images}"""
+)
+def scattered_verdicts(spark, sf):
+    """The tests of a scattered scene in their order."""
+    i = F.col("image_id")
+    rows = view(spark, sf, "images").select(
+        "image_id", (i % 3 + 1 + (i % 11 == 0).cast("int")).alias("placed"), (i % 3 + 1).alias("wanted"), (i % 13 == 0).cast("int").alias("outside"), (i % 17 == 0).cast("int").alias("crowded"),
+        ((i % 10) / 10).alias("span"), F.when(i % 19 == 0, 0.9).otherwise(1.0).alias("least_clip"), F.when(i % 23 == 0, 0.5).otherwise(1.0).alias("least_visible"),
+    )
+    return pl.accepted_scenes(rows).select("image_id", "reason")
