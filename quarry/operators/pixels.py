@@ -6,16 +6,18 @@ The functions are plain numpy; *_frames run them over rows (path, height, width,
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .jpeg import jpeg
+from .jpeg import jpegs
 
 #: Drawing order of figure parts; others stand at 30.
 PART_ORDER = {
@@ -41,7 +43,11 @@ def paste(canvas: np.ndarray, sprite: np.ndarray, x: int, y: int, flip: bool = F
     x0, y0, x1, y1 = max(0, x), max(0, y), min(canvas.shape[1], x + sprite.shape[1]), min(canvas.shape[0], y + sprite.shape[0])
     if x0 >= x1 or y0 >= y1:
         return
-    over, under = sprite[y0 - y : y1 - y, x0 - x : x1 - x].astype(np.float64) / 255, canvas[y0:y1, x0:x1].astype(np.float64) / 255
+    over, under = sprite[y0 - y : y1 - y, x0 - x : x1 - x], canvas[y0:y1, x0:x1]
+    if (((over[..., 3] + 1) & 254) == 0).all() and (under[..., 3] == 255).all():  # nothing to blend: alpha is 0 or 255
+        np.copyto(under, over, where=over[..., 3:] > 0)
+        return
+    over, under = over.astype(np.float64) / 255, under.astype(np.float64) / 255
     a, b = over[..., 3:], under[..., 3:]
     alpha = a + b * (1 - a)
     colour = np.divide(over[..., :3] * a + under[..., :3] * b * (1 - a), alpha, out=np.zeros_like(over[..., :3]), where=alpha > 0)
@@ -285,63 +291,139 @@ def _tiled(image: np.ndarray, x: int, y: int, step_x: int, step_y: int, width: i
             yield px, py
 
 
-def render_scenes(scenes: DataFrame, sprites: DataFrame, width: int, height: int, least_clip: float = 0.3, least_visible: float = 0.3, quality: int | None = 92) -> DataFrame:
+#: Rows of placed sprites that one task's copy of a sprite meets: pictures that more rows use are joined in several copies.
+USES = 100_000
+
+
+def _with_pictures(scenes: DataFrame, sprites: DataFrame) -> DataFrame:
+    """scenes with height, width and pixels by path. A picture that very many rows use would send all of them to one task, so its rows
+    are dealt by scene to as many copies of it as they need."""
+    often = scenes.groupBy("path").agg(F.count("*").alias("_n")).where(F.col("_n") > USES).select("path", F.ceil(F.col("_n") / USES).cast("int").alias("_copies"))
+    copies = F.coalesce("_copies", F.lit(1))
+    rows = scenes.join(often, "path", "left").withColumn("_copy", F.pmod(F.hash("scene"), copies)).drop("_copies")
+    pictures = sprites.select("path", "height", "width", "pixels").join(often, "path", "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
+    return rows.join(pictures, ["path", "_copy"]).drop("_copy")
+
+
+def _cover(cover: np.ndarray, alpha: np.ndarray, places: list[tuple[int, int]]) -> None:
+    """Raises cover to the alpha of a sprite that is drawn at places, where its own pieces may overlap."""
+    layer = cover if len(places) == 1 else np.zeros_like(cover)
+    for x, y in places:
+        x0, y0, x1, y1 = max(0, x), max(0, y), min(cover.shape[1], x + alpha.shape[1]), min(cover.shape[0], y + alpha.shape[0])
+        if x0 >= x1 or y0 >= y1:
+            continue
+        over, under = alpha[y0 - y : y1 - y, x0 - x : x1 - x], layer[y0:y1, x0:x1]
+        if layer is cover:
+            np.maximum(under, over, out=under)
+        else:
+            a, b = over / 255, under / 255
+            under[...] = np.rint((a + b * (1 - a)) * 255)
+    if layer is not cover:
+        np.maximum(cover, layer, out=cover)
+
+
+LABEL = ("path", "x", "y", "w", "h", "clip_fraction", "visible_fraction", "occlusion_fraction")
+
+
+def _scene_rows(drawn: list[tuple], width: int, height: int, least_clip: float, least_visible: float) -> tuple[list[tuple], list[tuple]]:
+    """(labels, hidden objects) of a scene's (kind, path, image, x, y, places) in drawing order, as tuples of LABEL, hidden ones with
+    their largest overlap with a target."""
+    cover = np.zeros((height, width), np.uint8)  # alpha of all that is drawn later
+    found: dict[int, tuple[float, float, float]] = {}
+    for i in range(len(drawn) - 1, -1, -1):
+        kind, _, image, x, y, places = drawn[i]
+        if kind in ("target", "hidden"):
+            found[i] = visibility(image[..., 3], x, y, cover)
+        if kind in ("hidden", "front"):
+            _cover(cover, image[..., 3], places)
+    labels: list[tuple] = []
+    hidden: list[tuple] = []
+    for i, (kind, path, image, x, y, _) in enumerate(drawn):
+        box = alpha_box(image) if i in found else None
+        if box is None:
+            continue
+        left, top, right, bottom = max(0, x + box[0]), max(0, y + box[1]), min(width, x + box[2]), min(height, y + box[3])
+        clip, visible, covered = found[i]
+        row = (path, left, top, right - left, bottom - top, round(clip, 4), round(visible, 4), round(covered, 4))
+        if kind == "target" and right - left >= 4 and bottom - top >= 4 and clip >= least_clip and visible >= least_visible:
+            labels.append(row)
+        elif kind == "hidden" and right > left and bottom > top:
+            hidden.append((*row, round(max([0.0, *(_overlap(row[1:5], t[1:5]) for t in labels)]), 4)))
+    return labels, hidden
+
+
+def _lists(rows: list[list[tuple]], kind: pa.DataType) -> pa.Array:
+    """A column of arrays of structs, from tuples of the struct's fields."""
+    flat = list(zip(*itertools.chain.from_iterable(rows), strict=True)) or [()] * kind.value_type.num_fields
+    fields = list(kind.value_type)
+    values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(flat, fields, strict=True)], fields=fields)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), values).cast(kind)
+
+
+def render_scenes(scenes: DataFrame, sprites: DataFrame, width: int, height: int, least_clip: float = 0.3, least_visible: float = 0.3, quality: int | None = 92, images: bool = True) -> DataFrame:
     """Scenes of placed sprites to an image, its labels and its hidden objects.
 
     scenes: (scene, layer, kind, path, x, y, flip), optionally with alpha (0 to 255), step_x and step_y; kind is one of DRAWN. Rows meet
-    their pixels by a join, then a scene is one group: kinds are drawn in the order of DRAWN and by layer inside a kind, over a sky. What stands
-    in front, and hidden objects drawn later, cover. One row per scene: (scene, image, labels, hidden): a JPEG of a quality, or
-    a PNG where it is None, with clip, visible and covered shares rounded to four places; hidden objects also have their largest
-    overlap with a target."""
+    their pixels by a join, then a scene's rows stand together and are read in a row: kinds are drawn in the order of DRAWN and by layer inside a
+    kind, over a sky. What stands in front, and hidden objects drawn later, cover. One row per scene: (scene, image, labels, hidden): a JPEG of a quality,
+    or a PNG where it is None, with clip, visible and covered shares rounded to four places; hidden objects also have their largest
+    overlap with a target. Shares do not depend on colours, so without images, for those who read no image, only the drawing is left out."""
     for name, value in (("alpha", 255), ("step_x", 0), ("step_y", 0)):
         scenes = scenes if name in scenes.columns else scenes.withColumn(name, F.lit(value))
+    label = "path:string,x:int,y:int,w:int,h:int,clip_fraction:double,visible_fraction:double,occlusion_fraction:double"
+    kind = scenes.schema["scene"].dataType.simpleString()
+    types = ["image binary"] * images + [f"labels array<struct<{label}>>", f"hidden array<struct<{label},max_target_iou:double>>"]
+    columns = ["scene", "kind", "path", "x", "y", "flip", "alpha", "step_x", "step_y", "height", "width", "pixels"]
+    list_of = lambda *more: pa.list_(pa.struct([("path", pa.string()), *((c, pa.int32()) for c in LABEL[1:5]), *((c, pa.float64()) for c in (*LABEL[5:], *more))]))
+    held = max(1, 2**18 // (width * height))  # scenes whose images are written at once
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(turn=pdf["kind"].map(DRAWN.index)).sort_values(["turn", "layer", "path", "x", "y"])
-        canvas = np.zeros((height, width, 4), np.uint8)
-        canvas[...] = (*SKY, 255)
+    def one(rows: Iterator[tuple]) -> tuple:
         drawn = []
-        for (path, image), r in zip(_images(pdf), pdf.itertuples(), strict=True):
-            if r.alpha < 255:
+        for _, kind, path, x, y, flip, alpha, step_x, step_y, h, w, raw in rows:
+            if kind not in DRAWN:
+                raise ValueError(f"{kind} is not one of {DRAWN}")
+            image = np.frombuffer(raw, np.uint8).reshape(h, w, 4)
+            if alpha < 255:
                 image = image.copy()
-                image[..., 3] = image[..., 3].astype(int) * r.alpha // 255
-            drawn.append((r.kind, path, image[:, ::-1] if r.flip else image, r.x, r.y, r.step_x, r.step_y))
-        cover = np.zeros((height, width), np.uint8)  # alpha of all that is drawn later
-        found: dict[int, tuple[float, float, float]] = {}
-        for i in range(len(drawn) - 1, -1, -1):
-            kind, _, image, x, y, step_x, step_y = drawn[i]
-            if kind in ("target", "hidden"):
-                found[i] = visibility(image[..., 3], x, y, cover)
-            if kind in ("hidden", "front"):
-                layer = np.zeros((height, width, 4), np.uint8)
-                for px, py in _tiled(image, x, y, step_x, step_y, width, height):
-                    paste(layer, image, px, py)
-                cover = np.maximum(cover, layer[..., 3])
-        labels, hidden = [], []
-        for i, (kind, path, image, x, y, step_x, step_y) in enumerate(drawn):
-            for px, py in _tiled(image, x, y, step_x, step_y, width, height):
+                image[..., 3] = image[..., 3].astype(int) * alpha // 255
+            image = image[:, ::-1] if flip else image
+            drawn.append((kind, path, image, x, y, list(_tiled(image, x, y, step_x, step_y, width, height))))
+        if not images:
+            return None, *_scene_rows(drawn, width, height, least_clip, least_visible)
+        canvas = np.empty((height, width, 4), np.uint8)
+        canvas[...] = (*SKY, 255)
+        for _, _, image, _, _, places in drawn:
+            for px, py in places:
                 paste(canvas, image, px, py)
-            box = alpha_box(image)
-            if i not in found or box is None:
-                continue
-            left, top, right, bottom = max(0, x + box[0]), max(0, y + box[1]), min(width, x + box[2]), min(height, y + box[3])
-            clip, visible, covered = found[i]
-            row = {"path": path, "x": left, "y": top, "w": right - left, "h": bottom - top, "clip_fraction": round(clip, 4), "visible_fraction": round(visible, 4), "occlusion_fraction": round(covered, 4)}
-            if kind == "target" and right - left >= 4 and bottom - top >= 4 and clip >= least_clip and visible >= least_visible:
-                labels.append(row)
-            elif kind == "hidden" and right > left and bottom > top:
-                hidden.append(row | {"max_target_iou": round(max([0.0, *(_overlap(row, t) for t in labels)]), 4)})
-        image = png(canvas) if quality is None else jpeg(canvas, quality)
-        return pd.DataFrame({"scene": [pdf["scene"].iloc[0]], "image": [image], "labels": [labels], "hidden": [hidden]})
-
-    label = "path:string,x:int,y:int,w:int,h:int,clip_fraction:double,visible_fraction:double,occlusion_fraction:double"
-    joined = scenes.join(sprites.select("path", "height", "width", "pixels"), "path")
-    kind = scenes.schema["scene"].dataType.simpleString()
-    return joined.groupBy("scene").applyInPandas(one, f"scene {kind}, image binary, labels array<struct<{label}>>, hidden array<struct<{label},max_target_iou:double>>")
-
-
-def _overlap(a: dict, b: dict) -> float:
-    wide = max(0, min(a["x"] + a["w"], b["x"] + b["w"]) - max(a["x"], b["x"]))
-    both = wide * max(0, min(a["y"] + a["h"], b["y"] + b["h"]) - max(a["y"], b["y"]))
-    union = a["w"] * a["h"] + b["w"] * b["h"] - both
+        return canvas, *_scene_rows(drawn, width, height, least_clip, least_visible)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types: list[pa.DataType] = []  # of the scene's column
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                types[:] = [batch.schema.field("scene").type]
+                yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+
+        # a scene may go on in the next batch, so groups are cut in the stream of rows
+        made = ((scene, one(own)) for scene, own in itertools.groupby(rows(), key=lambda r: r[0]))
+        while part := list(itertools.islice(made, held if images else 4096)):
+            names, found = zip(*part, strict=True)
+            canvases, labels, hidden = zip(*found, strict=True)
+            out = {"scene": pa.array(names, types[0])}
+            if images:
+                out["image"] = pa.array([png(c) for c in canvases] if quality is None else jpegs(np.stack(canvases), quality), pa.binary())
+            out |= {"labels": _lists(labels, list_of()), "hidden": _lists(hidden, list_of("max_target_iou"))}
+            yield pa.RecordBatch.from_pydict(out)
+
+    turn = F.array_position(F.array(*map(F.lit, DRAWN)), F.col("kind"))
+    placed = _with_pictures(scenes, sprites).repartition("scene").sortWithinPartitions("scene", turn, "layer", "path", "x", "y")
+    return placed.select(*columns).mapInArrow(run, ", ".join([f"scene {kind}", *types]))
+
+
+def _overlap(a: tuple, b: tuple) -> float:
+    """Intersection over union of two boxes (x, y, w, h)."""
+    wide = max(0, min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0]))
+    both = wide * max(0, min(a[1] + a[3], b[1] + b[3]) - max(a[1], b[1]))
+    union = a[2] * a[3] + b[2] * b[3] - both
     return both / union if union else 0.0

@@ -205,14 +205,14 @@ o AS (SELECT *, greatest(0, x1 - x0) * greatest(0, y1 - y0) AS inside, greatest(
 r AS (SELECT *, inside / (w * h) AS clip, (inside - behind) / (w * h) AS seen, CASE WHEN inside > 0 THEN behind / inside ELSE 0 END AS covered FROM o)"""
 
 
-def scenes(spark, sf, kind: str, quality: int | None = None):
+def scenes(spark, sf, kind: str, quality: int | None = None, images: bool = True):
     i = F.col("item")
     own = view(spark, sf, "items").select(i.alias("scene"), F.lit(0).alias("layer"), F.lit(kind).alias("kind"), i.cast("string").alias("path"), (i % 70 - 8).alias("x"), (i % 50 - 4).alias("y"), F.lit(False).alias("flip"))
     wall = view(spark, sf, "items").select(i.alias("scene"), F.lit(1).alias("layer"), F.lit("front").alias("kind"), F.lit("wall").alias("path"), (i % 64).alias("x"), F.lit(0).alias("y"), (i % 2 == 0).alias("flip"))
     more = own.where("scene % 3 = 0").withColumn("kind", F.lit("npc")).withColumn("x", F.lit(0))  # drawn, never labelled
     wide = np.zeros((30, 6, 4), np.uint8) + np.array([0, 0, 0, 255], np.uint8)
     pictures = sprites(spark, sf).select("path", "height", "width", "pixels").unionByName(spark.createDataFrame([("wall", 30, 6, bytearray(wide.tobytes()))], "path string, height int, width int, pixels binary"))
-    return pixels.render_scenes(own.unionByName(wall).unionByName(more), pictures, 64, 48, quality=quality)
+    return pixels.render_scenes(own.unionByName(wall).unionByName(more), pictures, 64, 48, quality=quality, images=images)
 
 
 SHARES = "printf('%.4f', clip)::DOUBLE AS clip_fraction, printf('%.4f', seen)::DOUBLE AS visible_fraction, printf('%.4f', covered)::DOUBLE AS occlusion_fraction"
@@ -229,7 +229,7 @@ def scene_labels(spark, sf):
 def scene_hidden_objects(spark, sf):
     """Objects that stay unlabelled, with what is seen of them."""
     row = F.explode("hidden").alias("l")
-    return scenes(spark, sf, "hidden").select("scene", row).select("scene", "l.x", "l.y", "l.w", "l.h", "l.clip_fraction", "l.visible_fraction", "l.occlusion_fraction", "l.max_target_iou")
+    return scenes(spark, sf, "hidden", images=False).select("scene", row).select("scene", "l.x", "l.y", "l.w", "l.h", "l.clip_fraction", "l.visible_fraction", "l.occlusion_fraction", "l.max_target_iou")
 
 
 @query("SELECT item AS scene, 'JPEG' AS format, 64 AS width, 48 AS height FROM {items}")

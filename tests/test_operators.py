@@ -209,6 +209,35 @@ def test_render_scenes(spark):
     assert [(x.x, x.y) for x in got[2].labels] == [(30, 20)]
 
 
+def many_scenes(spark, n):
+    rows = [(i, 0, ("target", "hidden")[i % 2], f"s{i % 5}", i % 50 - 6, i % 40 - 4, i % 3 == 0) for i in range(n)] + [(i, 1, "front", "wall", i % 64, 0, False) for i in range(n)]
+    sprites = [(f"s{k}", 6 + k, 9 + k, bytearray(solid(6 + k, 9 + k).tobytes())) for k in range(5)] + [("wall", 30, 6, bytearray(solid(30, 6, (0, 0, 0, 255)).tobytes()))]
+    return spark.createDataFrame(rows, "scene int, layer int, kind string, path string, x int, y int, flip boolean"), spark.createDataFrame(sprites, "path string, height int, width int, pixels binary")
+
+
+def test_scenes_without_images(spark, monkeypatch):
+    """Who reads no image pays for none; a sprite in every scene is dealt to many tasks, and scenes may be cut by Arrow batches."""
+    monkeypatch.setattr(pixels, "USES", 20)
+    rows, sprites = many_scenes(spark, 150)
+    whole = {r.scene: (r.labels, r.hidden) for r in pixels.render_scenes(rows, sprites, 64, 48).collect()}
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        plain = pixels.render_scenes(rows, sprites, 64, 48, images=False)
+        assert plain.columns == ["scene", "labels", "hidden"]
+        got = plain.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert len(got) == 150 and {r.scene: (r.labels, r.hidden) for r in got} == whole
+    for scene, (labels, hidden) in whole.items():
+        k, x, y = scene % 5, scene % 50 - 6, scene % 40 - 4
+        x0, y0, x1, y1 = max(0, x), max(0, y), min(64, x + 9 + k), min(48, y + 6 + k)
+        inside, behind = (x1 - x0) * (y1 - y0), max(0, min(x1, scene % 64 + 6) - max(x0, scene % 64)) * max(0, min(y1, 30) - y0)
+        for r in [*labels, *hidden]:
+            assert (r.path, r.x, r.y, r.w, r.h, r.occlusion_fraction) == (f"s{k}", x0, y0, x1 - x0, y1 - y0, round(behind / inside, 4))
+        assert scene % 2 == 0 or len(hidden) == 1
+
+
 def test_hidden_objects_and_unlabelled_ones(spark):
     sprites = [("red", 10, 12, bytearray(solid(10, 12).tobytes())), ("tile", 4, 4, bytearray(solid(4, 4, (0, 0, 255, 255)).tobytes()))]
     scenes = [(1, 0, "target", "red", 5, 5, False, 255, 0), (1, 0, "hidden", "red", 11, 5, False, 255, 0), (1, 1, "hidden", "red", 11, 10, False, 255, 0), (1, 0, "npc", "red", 40, 5, False, 255, 0), (1, 0, "back", "tile", 2, 40, False, 128, 6)]
