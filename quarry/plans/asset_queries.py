@@ -222,7 +222,7 @@ SHARES = "printf('%.4f', clip)::DOUBLE AS clip_fraction, printf('%.4f', seen)::D
 def scene_labels(spark, sf):
     """Labels of rendered scenes: what is inside, what is covered."""
     label = F.explode("labels").alias("l")
-    return scenes(spark, sf, "target").select("scene", label).select("scene", "l.x", "l.y", "l.w", "l.h", "l.clip_fraction", "l.visible_fraction", "l.occlusion_fraction")
+    return scenes(spark, sf, "target", images=False).select("scene", label).select("scene", "l.x", "l.y", "l.w", "l.h", "l.clip_fraction", "l.visible_fraction", "l.occlusion_fraction")
 
 
 @query(f"WITH {SCENES} SELECT item AS scene, x0 AS x, y0 AS y, x1 - x0 AS w, y1 - y0 AS h, {SHARES}, 0.0::DOUBLE AS max_target_iou FROM r WHERE x1 > x0 AND y1 > y0")

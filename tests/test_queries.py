@@ -76,3 +76,8 @@ def test_tiles_repeat_by_their_width(spark):
 def test_all_surveyed_rules_of_counts_and_lines_report(spark):
     got = {r.rule_id for r in catalog.QUERIES["validate_plan_counts"](spark, SF).select("rule_id").distinct().collect()}
     assert got == {f"VAL-{r}" for r in ("A5", "A6", "B5", "B6", "B7", "B8", "B9", "B35", "C8", "D2", "D6")}
+
+
+@pytest.mark.parametrize("name", ["scene_labels", "scene_hidden_objects"])
+def test_no_image_is_drawn_for_boxes(spark, name):
+    assert "image" not in catalog.QUERIES[name](spark, SF)._jdf.queryExecution().analyzed().toString()
