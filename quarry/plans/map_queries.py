@@ -159,7 +159,7 @@ def asset_keys(spark, sf):
                                         F.concat(F.lit("Mob/"), F.format_string("%07d", F.col("item") * 13), F.lit("/stand/0")).alias("path"))
     map_id = t.map_id(F.col("map_key"))
     return i.select("item", map_id.alias("map_id"), map_id.cast("long").between(700, 7000).alias("in_range"), t.guid_key(F.col("path")).alias("sprite_key"),
-                    F.regexp_extract("path", r"Mob/(\d+)", 1).alias("mob"), t.hex16((F.col("item") * 99991).cast("long")).alias("hex"))
+                    F.regexp_extract("path", r"Mob/(\d+)", 1).alias("mob"), t.hex16(F.col("item").cast("long") * 99991).alias("hex"))
 
 
 @query("SELECT path, key FROM (SELECT grouping || '/' || category || '/' || item AS path, grouping || '/' || category || '/' || item AS key FROM {items}) k WHERE lower(path) LIKE '%/brand#11/%1' ORDER BY length(key), key LIMIT 1")

@@ -81,3 +81,10 @@ def test_all_surveyed_rules_of_counts_and_lines_report(spark):
 @pytest.mark.parametrize("name", ["scene_labels", "scene_hidden_objects"])
 def test_no_image_is_drawn_for_boxes(spark, name):
     assert "image" not in catalog.QUERIES[name](spark, SF)._jdf.queryExecution().analyzed().toString()
+
+
+def test_asset_keys_of_large_numbers(spark, tmp_path):
+    """Keys past the range of int, which the SQL itself refuses."""
+    spark.range(1_199_990, 1_200_000).selectExpr("id as p_partkey", "'Brand#11' as p_brand", "'t' as p_type", "1 as p_size").write.parquet(str(tmp_path / "part.parquet"))
+    got = catalog.QUERIES["asset_keys"](spark, str(tmp_path)).collect()
+    assert sorted((r.item, r.hex) for r in got) == [(i, f"{i * 99991:016x}") for i in range(1_199_990, 1_200_000)]
