@@ -83,6 +83,18 @@ def test_decoded_frames(spark):
     assert targets == {0: 0, 1: 1, 2: 1}
 
 
+def test_aliases_to_the_end(spark):
+    """Chains of any length, more than a million frames, targets that are in no table, and a circle."""
+    frames = lambda n, alias: spark.range(n).selectExpr("'a' as asset", "cast(id as int) as frame", f"cast({alias} as int) as alias_of", "cast(null as string) as error")
+    long = atlas.resolved_aliases(frames(200, "id - 1")).collect()
+    assert len(long) == 200 and {r.target for r in long} == {0}
+    many = atlas.resolved_aliases(frames(1_100_000, "if(id % 4 = 3, id - 1, -1)"))
+    assert many.where("target = if(frame % 4 = 3, frame - 1, frame)").count() == many.count() == 1_100_000
+    assert {r.target for r in atlas.resolved_aliases(frames(2, "99")).collect()} == {99}
+    with pytest.raises(Exception, match="without an end"):
+        atlas.resolved_aliases(frames(3, "if(id = 0, -1, 3 - id)")).collect()
+
+
 def pool(strings, pad=0):
     data = b"".join(s.encode() + b"\0" for s in strings)
     cuts = np.cumsum([0, *[len(s.encode()) + 1 for s in strings]]).tolist()
