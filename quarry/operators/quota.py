@@ -54,9 +54,11 @@ def running(rows: DataFrame, group: str, order: str, amounts: dict[str, Column])
     """rows with, for each name, the sum of its amount over the group's rows that come before in a numeric order without ties.
 
     The order is cut at percentiles, as many as there are shuffle partitions: sums over whole ranges, one row each, are added to sums
-    inside a range, so no window holds a group. Where the cuts lie does not change a result."""
+    inside a range, so no window holds a group. Where the cuts lie does not change a result, as long as both see the same ones: approximate
+    percentiles depend on the order in which parts arrive, so they are found once, one short list a group, and kept on the driver."""
     parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     marks = rows.groupBy(group).agg(F.percentile_approx(order, [i / parts for i in range(1, parts)], 10 * parts).alias("_marks"))
+    marks = rows.sparkSession.createDataFrame(marks.collect(), marks.schema)
     placed = rows.join(marks, group).withColumn("_range", F.size(F.filter("_marks", lambda m: m < F.col(order)))).drop("_marks")
     placed = placed.withColumns({f"_{k}": v for k, v in amounts.items()})
     sums = placed.groupBy(group, "_range").agg(*[F.sum(f"_{k}").alias(f"_{k}") for k in amounts])

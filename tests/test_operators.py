@@ -109,6 +109,25 @@ def test_running_sums_and_places(spark):
     assert quota.running(spark.createDataFrame([], "o long, k string"), "k", "o", {"before": F.lit(1)}).collect() == []
 
 
+def test_running_sums_of_rows_in_any_order(spark):
+    """Approximate percentiles depend on the order of the rows, which is another at every reading here; sums do not."""
+
+    def stirred(batches):
+        for pdf in batches:
+            yield pdf.sample(frac=1)
+
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.exchange.reuse", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200000")
+    try:
+        rows = spark.range(0, 400000, 1, 4).selectExpr("id * 7919 % 400009 as o", "'a' as k").mapInPandas(stirred, "o long, k string")
+        got = quota.running(rows, "k", "o", {"before": F.lit(1)}).agg(F.count("*").alias("n"), F.count_distinct("before").alias("places"), F.max("before").alias("last")).first()
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    assert (got.n, got.places, got.last) == (400000, 400000, 399999)
+
+
 def test_nearest_rank(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "v double")
     assert df.agg(coverage.nearest_rank(F.col("v"), 0.5).alias("p")).first().p == 3.0
