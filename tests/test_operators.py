@@ -380,6 +380,39 @@ def test_schedule_meets_all_quotas(spark, limit):
     assert s.plan(CONFIG, limit) == s.plan(CONFIG, limit)
 
 
+def test_schedule_of_many_blocks(spark, monkeypatch):
+    """Tasks make the rows of plan(), block by block, with running indexes and swaps across blocks; every order is a permutation."""
+    from quarry.operators import schedule as s
+
+    for n in (1, 2, 3, 64, 1000):
+        for name in ("a", "b"):
+            assert sorted(s.permuted(7, name, np.arange(n), n).tolist()) == list(range(n))
+    whole = s.plan(CONFIG)
+    monkeypatch.setattr(s, "ROWS", 13)
+    monkeypatch.setattr(s, "BLOCKS", 6)
+    assert s.Layout(CONFIG).blocks > 1
+    monkeypatch.setattr(s.Layout, "chunks", lambda self, block: iter([np.arange(block * self.block, min(self.total, (block + 1) * self.block))]))
+    assert s.plan(CONFIG) == whole
+    of = collections.defaultdict(list)
+    for r in whole:
+        of[r[1]].append(r[2])
+    assert all(v == list(range(len(v))) for v in of.values())
+
+
+def test_schedule_is_made_by_tasks(spark):
+    from quarry.operators import schedule as s
+
+    big = CONFIG | {k: {v: n * 1000 for v, n in CONFIG[k].items()} for k in ("splits", "box_quotas", "player_quotas", "loot_count_quotas")}
+    big |= {"item_visual_count": 10000, "scenarios": {k: v | {"count": v["count"] * 1000} for k, v in CONFIG["scenarios"].items()}}
+    rows = s.schedule(spark, big)
+    assert "LocalTableScan" not in rows._jdf.queryExecution().executedPlan().toString() and "LogicalRDD" not in rows._jdf.queryExecution().analyzed().toString()
+    count = lambda c: {r[0]: r[1] for r in rows.groupBy(c).count().collect()}
+    assert count("split") == big["splits"] and count("target_count") == big["box_quotas"] and count("scenario") == {k: v["count"] for k, v in big["scenarios"].items()}
+    loot = {r[0]: r[1] for r in rows.groupBy("split").agg(F.sum("loot_count")).collect()}
+    assert loot["val"] >= 40000 and loot["test"] >= 40000
+    assert rows.agg(F.count_distinct("split", "split_index")).first()[0] == 200000 and sorted(map(tuple, rows.where("ordinal < 70000").collect())) == s.plan(big)[:70000]
+
+
 def test_schedule_refuses_what_cannot_be(spark):
     from quarry.operators import schedule as s
 
