@@ -271,6 +271,17 @@ def test_hidden_objects_and_unlabelled_ones(spark):
     assert image[6, 45].tolist() == [200, 10, 10, 255] and all((image[41, x, 2] > 245) == ((x - 2) % 6 < 4) for x in range(64))
 
 
+def test_jpegs_of_one_call():
+    """Files of one call are those of single calls: codes, padding and equal blocks of one image touch no other."""
+    from quarry.operators.jpeg import jpeg, jpegs
+
+    rng = np.random.default_rng(5)
+    images = np.stack([*(np.full((19, 27, 4), 200, np.uint8) for _ in range(3)), *rng.integers(0, 256, (3, 19, 27, 4)).astype(np.uint8)])
+    images[1, 3:9, 4:20] = 17
+    for quality in (50, 92, 100):
+        assert jpegs(images, quality) == [jpeg(i, quality) for i in images]
+
+
 def test_jpeg_opens_elsewhere(spark):
     """The platform's own decoder reads the files, and the pixels are near."""
     from quarry.operators.jpeg import jpeg
